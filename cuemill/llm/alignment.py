@@ -132,28 +132,33 @@ def expectation(left: pd.DataFrame, known: pd.DataFrame | None, most_cells: int
     return pd.DataFrame({"s": sources[s], "t": targets[t], "c": counts[s, t].astype(float)})
 
 
+def shard_step(first: bool):
+    """The expectation of one shard as a function of its units and the table; the first round has no table."""
+
+    def step(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty:
+            return pd.DataFrame({"pair": [], "s": [], "t": [], "c": []})
+        found = expectation(left, None if first else right)
+        found.insert(0, "pair", left["pair"].iloc[0])
+        return found
+
+    return step
+
+
 def train(units: DataFrame, rounds: int = 4, floor: float = 0.01) -> DataFrame:
     """Translation tables (pair, s, t, p, b) of all language pairs, from units (pair, shard, source, target) of tokenised sentences.
 
     p is the share of the source token's counts, b that of the target token's. Entries with both below ``floor`` say no
     more than the smoothing that stands for them and are left out, so that a token keeps at most 1 / floor entries."""
     ensure_checkpoint_dir(units.sparkSession)
-    shards = units.select("pair", "shard").distinct()
+    shards = units.select(F.col("pair").alias("of_pair"), F.col("shard").alias("of_shard")).distinct()
     table = None
     for k in range(rounds):
         if table is None:
-            spread = shards.select("pair", "shard", F.lit(None).cast("string").alias("s"), F.lit(None).cast("string").alias("t"), F.lit(None).cast("double").alias("p"), F.lit(None).cast("double").alias("b")).limit(0)
+            spread = shards.select("of_pair", "of_shard", F.lit(None).cast("string").alias("s"), F.lit(None).cast("string").alias("t"), F.lit(None).cast("double").alias("p"), F.lit(None).cast("double").alias("b")).limit(0)
         else:
-            spread = table.join(shards, "pair")
-
-        def step(left: pd.DataFrame, right: pd.DataFrame, first: bool = table is None) -> pd.DataFrame:
-            if left.empty:
-                return pd.DataFrame({"pair": [], "s": [], "t": [], "c": []})
-            found = expectation(left, None if first else right)
-            found.insert(0, "pair", left["pair"].iloc[0])
-            return found
-
-        expected = units.groupBy("pair", "shard").cogroup(spread.groupBy("pair", "shard")).applyInPandas(lambda left, right, f=step: f(left, right), "pair string, s string, t string, c double")
+            spread = table.join(shards, F.col("pair") == F.col("of_pair")).select("of_pair", "of_shard", "s", "t", "p", "b")
+        expected = units.groupBy("pair", "shard").cogroup(spread.groupBy("of_pair", "of_shard")).applyInPandas(shard_step(table is None), "pair string, s string, t string, c double")
         counts = expected.groupBy("pair", "s", "t").agg(F.sum("c").alias("c"))
         by_s = counts.groupBy("pair", "s").agg(F.sum("c").alias("of_s"))
         by_t = counts.groupBy("pair", "t").agg(F.sum("c").alias("of_t"))
@@ -267,7 +272,8 @@ def aligned_sentences(units: DataFrame, translations: DataFrame, rounds: int = 4
     ensure_checkpoint_dir(units.sparkSession)
     pairs = bitext(units, translations).checkpoint()
     table = train(pairs.select("pair", "shard", "source", "target"), rounds)
-    spread = table.join(pairs.select("pair", "shard").distinct(), "pair")
+    shards = pairs.select(F.col("pair").alias("of_pair"), F.col("shard").alias("of_shard")).distinct()
+    spread = table.join(shards, F.col("pair") == F.col("of_pair")).select("of_pair", "of_shard", "s", "t", "p", "b")
 
     def align(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         known = dict(zip(zip(right["s"], right["t"]), zip(right["p"], right["b"])))
@@ -279,7 +285,7 @@ def aligned_sentences(units: DataFrame, translations: DataFrame, rounds: int = 4
                     out.append((row.file_id, row.unit_id, i + 1, j + 1, [int(x) for x in row.spans[i]], float(s)))
         return pd.DataFrame(out, columns=["file_id", "unit_id", "source_no", "sent_no", "spans", "score"])
 
-    return pairs.groupBy("pair", "shard").cogroup(spread.groupBy("pair", "shard")).applyInPandas(lambda left, right: align(left, right), "file_id bigint, unit_id int, source_no int, sent_no int, spans array<int>, score double")
+    return pairs.groupBy("pair", "shard").cogroup(spread.groupBy("of_pair", "of_shard")).applyInPandas(align, "file_id bigint, unit_id int, source_no int, sent_no int, spans array<int>, score double")
 
 
 def aligned_spans(units: DataFrame, translations: DataFrame, rounds: int = 4) -> DataFrame:

@@ -28,7 +28,7 @@ from .common import batches, spread
 #: Where the vocabulary file of the public tokenizer lies unless the caller names another.
 VOCABULARY = os.environ.get("CUEMILL_VOCABULARY", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
 #: Fixed value: the pre-split pattern that goes with byte-level pair vocabularies.
-PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _encodings: dict = {}
 
 
@@ -118,7 +118,7 @@ def pack(documents: DataFrame, profiles: DataFrame, key: str = "doc_id", text: s
                     begin += own
         return pd.DataFrame(out, columns=["profile_id", "shard", "container", key, "piece_no", "begin_token", "n_tokens"])
 
-    return sizes.groupBy("shard").applyInPandas(lambda frame: place(frame), f"profile_id int, shard int, container int, {key} {kind}, piece_no int, begin_token bigint, n_tokens bigint")
+    return sizes.groupBy("shard").applyInPandas(place, f"profile_id int, shard int, container int, {key} {kind}, piece_no int, begin_token bigint, n_tokens bigint")
 
 
 def fill(packed: DataFrame, profiles: DataFrame) -> DataFrame:
