@@ -1,0 +1,322 @@
+"""One translation of a unit back onto the spans that it came from, and captions onto two lines.
+
+A cut between two parts is looked for near the place that the spans' weights suggest: at a marker, at punctuation of
+the kind that ends the source span, at other punctuation, between words, in this order; ranges that may not be cut
+(brackets, tags, numbers with units, names) are left whole.
+"""
+
+from __future__ import annotations
+
+import re
+from bisect import bisect_left
+from dataclasses import dataclass
+
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.rules import settle
+
+# ---- Fixed values: tolerances as a share of the distance, least distances in characters, bounds of a part's share ----
+TOLERANCE = {"trail_off": 0.60, "comma": 0.30, "period": 0.25, "colon": 0.25}
+NEAR, NEAR_WEAK, SNAP = 8, 3, 3
+SHARE = 0.55, 1.85
+BRACKET_WEIGHT = 0.25
+#: Punctuation by the kind of boundary, and characters that may not begin or end a part.
+KIND_END = (("trail_off", re.compile(r"(\.{2,}|-{2,}|—+|…+)\s*$")), ("comma", re.compile(r"[,，、]\s*$")), ("period", re.compile(r"[.。!?！？]['\"”’)\]」』]*\s*$")), ("colon", re.compile(r"[:：]\s*$")))
+KIND_IN = {"trail_off": (re.compile(r"\.{2,}|-{2,}|—+|…+"),), "comma": (re.compile(r"[,，；;]+"), re.compile("、+")), "period": (re.compile(r"[.。!?！？]+['\"”’)\]」』]*"),), "colon": (re.compile("[:：]+"),)}
+STRONG = re.compile(r"[.。!?！？；;，,、：:]+['\"”’)\]」』]*")
+WEAK = re.compile(r"…+|\.{2,}|—+|-{2,}")
+NO_START = set("”」』）)]}＞〉》】〕»›、，,。.！!？?；;：:·’…ー々〻ゝゞヽヾ・ぁぃぅぇぉっゃゅょゎァィゥェォッャュョヮヵヶ〗〙〛〜～％℃℉")
+NO_END = set("“「『（([{＜〈《【〔„‚«‹¿¡‘〖〘〚〝＄￥￡$€£¥₩№§")
+MARKER = re.compile(r"⟦c(\d+(?:\.\d+)?)⟧")
+WHOLE = re.compile(r"[(（\[【{][^()（）\[\]【】{}]*[)）\]】}]|《[^《》]*》|<(i|b|u)>.*?</\1>|(?:[A-Za-z]\.){2,}|[A-Za-zÀ-ɏ][A-Za-zÀ-ɏ0-9]*(?:['’&-][A-Za-zÀ-ɏ0-9]+)*|[$€£¥₩]?\s?[0-9][0-9.,:/]*(?:\s?(?:%|‰|°[CF]?|[€£¥₩])|[个個名位年月日号點点时時分秒岁歲次遍回倍])?|…+|\.{2,}|⟦[^⟦⟧]*⟧", re.S)
+
+
+@dataclass
+class Span:
+    text: str
+    marker_id: str | None = None
+    marked: bool = False
+
+
+def weight(text: str) -> float:
+    """Latin words 2.5, digits half, other letters 1, punctuation half; at least a little."""
+    latin = len(re.findall(r"[a-zA-Z]+(?:['’][a-zA-Z]+)*", text))
+    return 2.5 * latin + 0.5 * len(re.findall(r"\d", text)) + len(re.findall(r"[^\W_a-zA-Z0-9]", text)) + 0.5 * len(re.findall(r"[，,、；;。.!?！？：:…]", text)) or 0.1
+
+
+def prefix_weights(text: str) -> list[float]:
+    out, total = [0.0], 0.0
+    inside = [0.0] * len(text)
+    for m in re.finditer(r"[a-zA-Z]+(?:['’][a-zA-Z]+)*", text):
+        for k in range(*m.span()):
+            inside[k] = 2.5 / (m.end() - m.start())
+    for k, c in enumerate(text):
+        total += inside[k] or (0.5 if c.isdigit() or c in "，,、；;。.!?！？：:…" else 1.0 if c.isalpha() else 0.0)
+        out.append(total)
+    return out
+
+
+def kind_of(text: str) -> str | None:
+    return next((k for k, p in KIND_END if p.search(text)), None)
+
+
+def expected_cuts(text: str, spans: list[Span]) -> list[float]:
+    """Where the cuts would be if the translation ran in step with the spans' weights."""
+    sums = prefix_weights(text)
+    total, goal, out = sum(weight(s.text) for s in spans), 0.0, []
+    for s in spans[:-1]:
+        goal += weight(s.text) / total * sums[-1]
+        at = bisect_left(sums, goal)
+        below = sums[at - 1] if at else 0.0
+        step = sums[at] - below if at < len(sums) else 0.0
+        out.append(max(0.0, at - 1 + ((goal - below) / step if step else 0.0)) if at else 0.0)
+    return out
+
+
+class Cuts:
+    """Places of a text where it may be cut."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.whole = [m.span() for m in WHOLE.finditer(text) if m.end() - m.start() > 1]
+
+    def allowed(self, at: int) -> bool:
+        if not 0 < at < len(self.text) or any(a < at < b for a, b in self.whole):
+            return False
+        before, after = self.text[:at].rstrip(), self.text[at:].lstrip()
+        return bool(before and after) and after[0] not in NO_START and before[-1] not in NO_END
+
+    def after(self, patterns) -> list[int]:
+        """The places behind matches of the first pattern that has any."""
+        for p in patterns:
+            found = []
+            for m in p.finditer(self.text):
+                at = m.end()
+                while at < len(self.text) and self.text[at].isspace():
+                    at += 1
+                if self.allowed(at):
+                    found.append(at)
+            if found:
+                return found
+        return []
+
+    def words(self) -> list[int]:
+        spaces = [m.end() for m in re.finditer(r"\s+", self.text) if self.allowed(m.end())]
+        if spaces:
+            return spaces
+        return [k for k in range(1, len(self.text)) if self.allowed(k)]
+
+
+def nearest(places: list[int], goal: float, low: int, high: int) -> int | None:
+    inside = [p for p in places if low < p < high]
+    return min(inside, key=lambda p: (abs(p - goal), p)) if inside else None
+
+
+def anchor_cuts(cuts: Cuts, kinds: list[str | None], goals: list[float]) -> dict[int, int]:
+    """Cuts that take punctuation of their own kind, in order: a dynamic programme over cuts and places that maximises kept cuts less their deviation."""
+    offers = []
+    for k, kind in enumerate(kinds):
+        if kind is None:
+            continue
+        own = [p for p in cuts.after(KIND_IN[kind]) if abs(p - goals[k]) <= max(TOLERANCE[kind] * max(goals[k] - (goals[k - 1] if k else 0), 1), NEAR)]
+        offers.append((k, own))
+    best: list[tuple[float, int, list[tuple[int, int]]]] = [(0.0, 0, [])]
+    for k, own in offers:
+        grown = list(best)
+        for p in own:
+            gain = max(1.0, len(cuts.text)) - abs(p - goals[k])
+            top = max((b for b in best if b[1] < p), key=lambda b: b[0])
+            grown.append((top[0] + gain, p, [*top[2], (k, p)]))
+        # for each last place only the best chain matters
+        kept: dict[int, tuple[float, int, list[tuple[int, int]]]] = {}
+        for b in grown:
+            if b[1] not in kept or b[0] > kept[b[1]][0]:
+                kept[b[1]] = b
+        best = list(kept.values())
+    return dict(max(best, key=lambda b: b[0])[2])
+
+
+def split_translation(text: str, spans: list[Span], target: str = "", source: str = "en") -> tuple[list[str], str]:
+    """(one part per span, method): marker_boundary, mixed_boundary, original_boundary, inferred_punctuation, word_boundary or whole."""
+    text = (text or "").strip()
+    if len(spans) <= 1:
+        return [MARKER.sub("", text).strip()], "whole"
+    locked: dict[int, int] = {}
+    clean, shift = "", 0
+    ids = {s.marker_id: k for k, s in enumerate(spans) if s.marker_id}
+    last = 0
+    for m in MARKER.finditer(text):
+        clean += text[last : m.start()]
+        last = m.end()
+        k = ids.get(m.group(1))
+        if k and (k - 1) not in locked:
+            locked[k - 1] = len(clean)
+    clean += text[last:]
+    text = re.sub(r"[⟦⟧]", "", clean) if "⟦" not in clean else settle(re.compile("⟦[^⟦⟧]*⟧"), clean)
+    n = len(spans) - 1
+    if len(text) < len(spans):
+        return [text, *[""] * n], "word_boundary"
+    goals, kinds, cuts = expected_cuts(text, spans), [kind_of(s.text) for s in spans[:-1]], Cuts(text)
+    chinese = target.split("-")[0].lower() in ("zh", "yue")
+    anchors = dict(locked)
+    if chinese and source.split("-")[0].lower() not in ("zh", "yue", "ja", "ko"):
+        for k, p in anchor_cuts(cuts, kinds, goals).items():
+            anchors.setdefault(k, p)
+    words = cuts.words()
+    out, tags, at = [], [], 0
+    for k in range(n):
+        high = min([p for q, p in locked.items() if q > k] + [len(text)])
+        goal, chunk = goals[k], max(goals[k] - at, 0.0)
+        cut, tag = None, ""
+        if k in anchors and at < anchors[k] <= high and (k in locked or cuts.allowed(anchors[k])):
+            cut, tag = anchors[k], "marker" if k in locked else "original"
+        if cut is None and kinds[k]:
+            p = nearest(cuts.after(KIND_IN[kinds[k]]), goal, at, high)
+            if p is not None and abs(p - goal) <= max(TOLERANCE[kinds[k]] * chunk, NEAR):
+                cut, tag = p, "original"
+        for pattern, open_share, open_least, share, least in ((STRONG, 0.25, 4, 0.15, NEAR), (WEAK, 0.25, 4, 0.06, NEAR_WEAK)):
+            if cut is None:
+                p = nearest(cuts.after((pattern,)), goal, at, high)
+                if p is not None and abs(p - goal) <= (max(open_share * chunk, open_least) if kinds[k] is None else max(share * chunk, least)):
+                    cut, tag = p, "inferred"
+        if cut is None and target.split("-")[0].lower() in ("zh", "yue", "ja"):
+            p = nearest([m.end() for m in re.finditer(r"(?<=[^\x00-\x7f])\s+(?=[^\x00-\x7f])", text) if cuts.allowed(m.end())], goal, at, high)
+            if p is not None and abs(p - goal) <= max(0.3 * chunk, 4):
+                cut, tag = p, "inferred"
+        if cut is None:
+            cut = nearest(words, goal, at, high)
+        if cut is None:
+            cut = min(max(at + 1, round(goal)), max(at + 1, high - 1), len(text))
+        out.append(cut)
+        tags.append(tag)
+        at = cut
+    out = rebalance(text, spans, out, tags, words)
+    out = snap(text, out, tags, cuts)
+    parts = [text[a:b].strip() for a, b in zip([0, *out], [*out, len(text)])]
+    parts = place_punctuation(parts)
+    parts = fill_empty(parts, spans)
+    return parts, method(tags)
+
+
+def rebalance(text: str, spans: list[Span], cuts: list[int], tags: list[str], words: list[int]) -> list[int]:
+    """Cuts without evidence whose parts are far too short or too long for their spans move to the word boundary that suits both neighbours best."""
+    sums = prefix_weights(text)
+    total, own = sum(weight(s.text) for s in spans), [weight(s.text) for s in spans]
+    for k, tag in enumerate(tags):
+        if tag:
+            continue
+        low, high = cuts[k - 1] if k else 0, cuts[k + 1] if k + 1 < len(cuts) else len(text)
+        ratio = (sums[cuts[k]] - sums[low]) / max(1e-9, sums[-1]) / (own[k] / total)
+        if SHARE[0] <= ratio <= SHARE[1]:
+            continue
+        share = own[k] / max(1e-9, own[k] + own[k + 1])
+        goal = bisect_left(sums, sums[low] + share * (sums[high] - sums[low]))
+        better = nearest(words, goal, low, high)
+        cuts[k] = cuts[k] if better is None else better
+    return cuts
+
+
+def snap(text: str, cuts: list[int], tags: list[str], own: Cuts) -> list[int]:
+    """A cut just before punctuation moves behind it."""
+    for k, at in enumerate(cuts):
+        if tags[k] in ("marker", "original"):
+            continue
+        m = STRONG.search(text, at, min(len(text), at + SNAP + 1))
+        high = cuts[k + 1] if k + 1 < len(cuts) else len(text)
+        if m and m.end() - at <= SNAP and m.end() < high and own.allowed(m.end()):
+            cuts[k] = m.end()
+    return cuts
+
+
+def place_punctuation(parts: list[str]) -> list[str]:
+    """Characters that may not begin a part go to the end of the one before, those that may not end one to the next."""
+    for k in range(len(parts) - 1):
+        while parts[k + 1] and parts[k + 1][0] in NO_START and parts[k]:
+            parts[k], parts[k + 1] = parts[k] + parts[k + 1][0], parts[k + 1][1:].lstrip()
+        while parts[k] and parts[k][-1] in NO_END and parts[k + 1]:
+            parts[k + 1], parts[k] = parts[k][-1] + parts[k + 1], parts[k][:-1].rstrip()
+    return parts
+
+
+def fill_empty(parts: list[str], spans: list[Span]) -> list[str]:
+    """An empty part of a span with content takes its share of the longer neighbour."""
+    for k, part in enumerate(parts):
+        if part or not re.search(r"\w", spans[k].text):
+            continue
+        sides = [j for j in (k - 1, k + 1) if 0 <= j < len(parts) and len(parts[j].split()) > 1]
+        if not sides:
+            continue
+        j = max(sides, key=lambda q: len(parts[q]))
+        words = parts[j].split()
+        share = weight(spans[k].text) / (weight(spans[k].text) + weight(spans[j].text))
+        n = min(len(words) - 1, max(1, round(share * len(words))))
+        if j < k:
+            parts[j], parts[k] = " ".join(words[:-n]), " ".join(words[-n:])
+        else:
+            parts[k], parts[j] = " ".join(words[:n]), " ".join(words[n:])
+    return parts
+
+
+def method(tags: list[str]) -> str:
+    if "marker" in tags:
+        return "marker_boundary" if all(t in ("marker", "") for t in tags) else "mixed_boundary"
+    return "original_boundary" if "original" in tags else "inferred_punctuation" if "inferred" in tags else "word_boundary"
+
+
+# ---- two lines ----
+#: Characters a line by language; others have 42.
+LINE_CHARS = {"zh": 16, "yue": 16, "ja": 13, "ko": 16, "ru": 39, "th": 35}
+
+
+def wrap_lines(text: str, target: str) -> str:
+    """A caption on two balanced lines where one would be too long; markup is never cut and doesn't count."""
+    most = LINE_CHARS.get(target.split("-")[0].lower(), 42)
+    marks = [m.span() for m in re.finditer(r"\{[^}]*\}|</?[a-zA-Z][^>]*>", text)]
+    visible = re.sub(r"\{[^}]*\}|</?[a-zA-Z][^>]*>", "", text)
+    wide = target.split("-")[0].lower() in ("zh", "yue", "ja", "ko")
+    size = (lambda s: weight(s)) if wide else len
+    if size(visible) <= most or "\n" in text:
+        return text
+    cuts = Cuts(visible)
+    places = cuts.words()
+    if not places:
+        return text
+
+    def cost(at: int) -> tuple[float, int]:
+        first, second = visible[:at].strip(), visible[at:].strip()
+        over = max(0, size(first) - most) + max(0, size(second) - most)
+        marks_end = first[-1:] in ",，、.。!?！？;；:：…"
+        return over * 10 + abs(size(first) - size(second)) / max(1, size(visible)) * 10 - (3 if marks_end else 0) + (1 if size(first) > size(second) else 0), at
+
+    at = min(places, key=cost)
+    real, seen = 0, 0
+    while real < len(text) and seen < at:
+        mark = next((b for a, b in marks if a == real), None)
+        if mark is not None:
+            real = mark
+            continue
+        real += 1
+        seen += 1
+    while any(a == real and text[a : a + 2] == "</" for a, _ in marks):
+        real = next(b for a, b in marks if a == real)
+    return text[:real].rstrip() + "\n" + text[real:].lstrip()
+
+
+# ---- Arrow functions ----
+@F.pandas_udf(T.StructType([T.StructField("parts", T.ArrayType(T.StringType())), T.StructField("method", T.StringType())]))
+def split_parts(texts: pd.Series, spans: pd.Series, markers: pd.Series, targets: pd.Series, sources: pd.Series) -> pd.DataFrame:
+    """Parts of each translation for the texts (and marker ids) of its spans."""
+    out = []
+    for text, own, ids, target, source in zip(texts, spans, markers, targets, sources):
+        if text is None or own is None or not len(own):
+            out.append((None, None))
+        else:
+            out.append(split_translation(text, [Span(t or "", i) for t, i in zip(own, ids)], target or "", source or "en"))
+    return pd.DataFrame(out, columns=["parts", "method"])
+
+
+@F.pandas_udf(T.StringType())
+def wrapped(texts: pd.Series, targets: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None else wrap_lines(x, t or "") for x, t in zip(texts, targets)])

@@ -1,4 +1,4 @@
-"""All queries of the core by name, with their SQL counterparts."""
+"""All queries of the core by name, with their SQL counterparts where SQL can state them."""
 
 from __future__ import annotations
 
@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import queries_align, queries_flow, queries_text
+
+Query = Callable[[SparkSession, str], DataFrame]
+
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/documents.parquet").groupBy("lang").count()
+    return queries_text.QUERIES["boundary_classes"](spark, d)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return {**queries_text.QUERIES, **queries_flow.QUERIES, **queries_align.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {**queries_text.SQL, **queries_flow.SQL, **queries_align.SQL}
