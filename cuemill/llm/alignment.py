@@ -2,8 +2,8 @@
 
 Translation tables of each language pair are estimated by expectation-maximization (word translation probabilities as
 in the first of the classical statistical models, with a null word and a mild preference for like positions). The
-expectation runs over shards of units next to the current table, the maximization is one aggregation, so neither the
-units nor the table pass through the driver. Sentences are then linked competitively: the best-scoring pair of
+expectation runs over shards of units next to the current table, the maximization is one aggregation; the units never
+pass through the driver, the table only within a checked bound. Sentences are then linked competitively: the best-scoring pair of
 sentences anywhere in the unit is accepted first, further pairs while they are compatible (each side may be merged or
 split into a few), and what scores too low stays unaligned.
 
@@ -99,7 +99,7 @@ def source_sentences(spans: list) -> list[tuple[str, list[int]]]:
     return out
 
 
-def expectation(left: pd.DataFrame, known: pd.DataFrame | None, most_cells: int = 12_000_000) -> pd.DataFrame:
+def expectation(left: pd.DataFrame, known: pd.DataFrame | None, most_cells: int = 4_000_000) -> pd.DataFrame:
     """Expected counts (s, t, c) of token pairs over the units of a shard; without a known table all pairs are alike.
 
     The shard's part of the table is held as a matrix; a shard with too many different tokens is worked on in halves."""
@@ -145,20 +145,42 @@ def shard_step(first: bool):
     return step
 
 
+#: Entries of a translation table up to which every task gets the table whole (about 100 bytes each); beyond, a table is dealt to its pair's shards.
+MOST_ENTRIES = 400_000
+
+
+def per_shard(units: DataFrame, table: DataFrame | None, step, schema: str) -> DataFrame:
+    """Applies step(units of a shard, its pair's table) to all shards. The table is broadcast if its counted size is within the bound, else each pair's table is shuffled to the pair's shards."""
+    groups = units.groupBy("pair", "shard")
+    if table is None:
+        empty = pd.DataFrame({"s": [], "t": [], "p": [], "b": []})
+        return groups.applyInPandas(only_units(step, lambda pair: empty), schema)
+    if table.limit(MOST_ENTRIES + 1).count() <= MOST_ENTRIES:
+        whole = table.toPandas()
+        shared = units.sparkSession.sparkContext.broadcast({pair: own.drop(columns="pair").reset_index(drop=True) for pair, own in whole.groupby("pair")})
+        nothing = whole.iloc[:0].drop(columns="pair")
+        return groups.applyInPandas(only_units(step, lambda pair: shared.value.get(pair, nothing)), schema)
+    shards = units.select(F.col("pair").alias("of_pair"), F.col("shard").alias("of_shard")).distinct()
+    spread = table.join(shards, F.col("pair") == F.col("of_pair")).select("of_pair", "of_shard", "s", "t", "p", "b")
+    return groups.cogroup(spread.groupBy("of_pair", "of_shard")).applyInPandas(step, schema)
+
+
+def only_units(step, table_of):
+    def run(left: pd.DataFrame) -> pd.DataFrame:
+        return step(left, table_of(left["pair"].iloc[0]))
+
+    return run
+
+
 def train(units: DataFrame, rounds: int = 4, floor: float = 0.01) -> DataFrame:
     """Translation tables (pair, s, t, p, b) of all language pairs, from units (pair, shard, source, target) of tokenised sentences.
 
     p is the share of the source token's counts, b that of the target token's. Entries with both below ``floor`` say no
     more than the smoothing that stands for them and are left out, so that a token keeps at most 1 / floor entries."""
     ensure_checkpoint_dir(units.sparkSession)
-    shards = units.select(F.col("pair").alias("of_pair"), F.col("shard").alias("of_shard")).distinct()
     table = None
-    for k in range(rounds):
-        if table is None:
-            spread = shards.select("of_pair", "of_shard", F.lit(None).cast("string").alias("s"), F.lit(None).cast("string").alias("t"), F.lit(None).cast("double").alias("p"), F.lit(None).cast("double").alias("b")).limit(0)
-        else:
-            spread = table.join(shards, F.col("pair") == F.col("of_pair")).select("of_pair", "of_shard", "s", "t", "p", "b")
-        expected = units.groupBy("pair", "shard").cogroup(spread.groupBy("of_pair", "of_shard")).applyInPandas(shard_step(table is None), "pair string, s string, t string, c double")
+    for _ in range(rounds):
+        expected = per_shard(units, table, shard_step(table is None), "pair string, s string, t string, c double")
         counts = expected.groupBy("pair", "s", "t").agg(F.sum("c").alias("c"))
         by_s = counts.groupBy("pair", "s").agg(F.sum("c").alias("of_s"))
         by_t = counts.groupBy("pair", "t").agg(F.sum("c").alias("of_t"))
@@ -272,11 +294,11 @@ def aligned_sentences(units: DataFrame, translations: DataFrame, rounds: int = 4
     ensure_checkpoint_dir(units.sparkSession)
     pairs = bitext(units, translations).checkpoint()
     table = train(pairs.select("pair", "shard", "source", "target"), rounds)
-    shards = pairs.select(F.col("pair").alias("of_pair"), F.col("shard").alias("of_shard")).distinct()
-    spread = table.join(shards, F.col("pair") == F.col("of_pair")).select("of_pair", "of_shard", "s", "t", "p", "b")
-
     def align(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        known = dict(zip(zip(right["s"], right["t"]), zip(right["p"], right["b"])))
+        # of the table only what the shard's sentences can ask for
+        source_words, target_words = ({x for own in left[side] for sentence in own for x in sentence} for side in ("source", "target"))
+        own = right[right["s"].isin(source_words) & right["t"].isin(target_words)]
+        known = dict(zip(zip(own["s"], own["t"]), zip(own["p"], own["b"])))
         out = []
         for row in left.itertuples():
             source, target = [list(x) for x in row.source], [list(x) for x in row.target]
@@ -285,7 +307,7 @@ def aligned_sentences(units: DataFrame, translations: DataFrame, rounds: int = 4
                     out.append((row.file_id, row.unit_id, i + 1, j + 1, [int(x) for x in row.spans[i]], float(s)))
         return pd.DataFrame(out, columns=["file_id", "unit_id", "source_no", "sent_no", "spans", "score"])
 
-    return pairs.groupBy("pair", "shard").cogroup(spread.groupBy("of_pair", "of_shard")).applyInPandas(align, "file_id bigint, unit_id int, source_no int, sent_no int, spans array<int>, score double")
+    return per_shard(pairs, table, align, "file_id bigint, unit_id int, source_no int, sent_no int, spans array<int>, score double")
 
 
 def aligned_spans(units: DataFrame, translations: DataFrame, rounds: int = 4) -> DataFrame:
