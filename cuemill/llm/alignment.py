@@ -2,8 +2,8 @@
 
 Translation tables of each language pair are estimated by expectation-maximization (word translation probabilities as
 in the first of the classical statistical models, with a null word and a mild preference for like positions). The
-expectation runs over shards of units next to the current table, the maximization is one aggregation; the units never
-pass through the driver, the table only within a checked bound. Sentences are then linked competitively: the best-scoring pair of
+expectation runs over shards of units next to the current table, the maximization is one aggregation; neither the
+units nor the table pass through the driver: a shard gets the part of the table that its tokens name. Sentences are then linked competitively: the best-scoring pair of
 sentences anywhere in the unit is accepted first, further pairs while they are compatible (each side may be merged or
 split into a few), and what scores too low stays unaligned.
 
@@ -145,34 +145,34 @@ def shard_step(first: bool):
     return step
 
 
-#: Entries of a translation table up to which every task gets the table whole (about 100 bytes each); beyond, a table is dealt to its pair's shards.
-MOST_ENTRIES = 400_000
+def words_of(units: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The source and the target tokens of each shard, once."""
+    return tuple(
+        units.select(F.col("pair").alias("of_pair"), F.col("shard").alias("of_shard"), F.explode(F.flatten(side)).alias(name)).distinct().checkpoint()
+        for side, name in (("source", "of_s"), ("target", "of_t"))
+    )
 
 
-def per_shard(units: DataFrame, table: DataFrame | None, step, schema: str) -> DataFrame:
-    """Applies step(units of a shard, its pair's table) to all shards. The table is broadcast if its counted size is within the bound, else each pair's table is shuffled to the pair's shards."""
+def per_shard(units: DataFrame, table: DataFrame | None, words: tuple[DataFrame, DataFrame], step, schema: str) -> DataFrame:
+    """Applies step(units of a shard, table) to all shards; a shard gets of its pair's table the entries of which it has both tokens."""
     groups = units.groupBy("pair", "shard")
     if table is None:
-        empty = pd.DataFrame({"s": [], "t": [], "p": [], "b": []})
-        return groups.applyInPandas(only_units(step, lambda pair: empty), schema)
-    if table.limit(MOST_ENTRIES + 1).count() <= MOST_ENTRIES:
-        whole = table.toPandas()
-        shared = units.sparkSession.sparkContext.broadcast({pair: own.drop(columns="pair").reset_index(drop=True) for pair, own in whole.groupby("pair")})
-        nothing = whole.iloc[:0].drop(columns="pair")
-        return groups.applyInPandas(only_units(step, lambda pair: shared.value.get(pair, nothing)), schema)
-    shards = units.select(F.col("pair").alias("of_pair"), F.col("shard").alias("of_shard")).distinct()
-    spread = table.join(shards, F.col("pair") == F.col("of_pair")).select("of_pair", "of_shard", "s", "t", "p", "b")
+        return groups.applyInPandas(only_units(step), schema)
+    sources, targets = words
+    own = table.join(sources, (F.col("pair") == F.col("of_pair")) & (F.col("s") == F.col("of_s"))).select("of_pair", "of_shard", "s", "t", "p", "b")
+    theirs = targets.select(F.col("of_pair").alias("t_pair"), F.col("of_shard").alias("t_shard"), "of_t")
+    spread = own.join(theirs, (F.col("of_pair") == F.col("t_pair")) & (F.col("of_shard") == F.col("t_shard")) & (F.col("t") == F.col("of_t")), "left_semi")
     return groups.cogroup(spread.groupBy("of_pair", "of_shard")).applyInPandas(step, schema)
 
 
-def only_units(step, table_of):
+def only_units(step):
     def run(left: pd.DataFrame) -> pd.DataFrame:
-        return step(left, table_of(left["pair"].iloc[0]))
+        return step(left, pd.DataFrame({"s": [], "t": [], "p": [], "b": []}))
 
     return run
 
 
-def train(units: DataFrame, rounds: int = 4, floor: float = 0.01) -> DataFrame:
+def train(units: DataFrame, words: tuple[DataFrame, DataFrame], rounds: int = 4, floor: float = 0.01) -> DataFrame:
     """Translation tables (pair, s, t, p, b) of all language pairs, from units (pair, shard, source, target) of tokenised sentences.
 
     p is the share of the source token's counts, b that of the target token's. Entries with both below ``floor`` say no
@@ -180,8 +180,8 @@ def train(units: DataFrame, rounds: int = 4, floor: float = 0.01) -> DataFrame:
     ensure_checkpoint_dir(units.sparkSession)
     table = None
     for _ in range(rounds):
-        expected = per_shard(units, table, shard_step(table is None), "pair string, s string, t string, c double")
-        counts = expected.groupBy("pair", "s", "t").agg(F.sum("c").alias("c"))
+        expected = per_shard(units, table, words, shard_step(table is None), "pair string, s string, t string, c double")
+        counts = expected.groupBy("pair", "s", "t").agg(F.sum("c").alias("c")).checkpoint()
         by_s = counts.groupBy("pair", "s").agg(F.sum("c").alias("of_s"))
         by_t = counts.groupBy("pair", "t").agg(F.sum("c").alias("of_t"))
         shares = counts.join(by_s, ["pair", "s"]).join(by_t, ["pair", "t"]).select("pair", "s", "t", (F.col("c") / (F.col("of_s") + 0.5)).alias("p"), (F.col("c") / (F.col("of_t") + 0.5)).alias("b"))
@@ -293,12 +293,10 @@ def aligned_sentences(units: DataFrame, translations: DataFrame, rounds: int = 4
     """Linked sentences: file_id, unit_id, source_no, sent_no, spans of the source sentence, score."""
     ensure_checkpoint_dir(units.sparkSession)
     pairs = bitext(units, translations).checkpoint()
-    table = train(pairs.select("pair", "shard", "source", "target"), rounds)
+    words = words_of(pairs)
+    table = train(pairs.select("pair", "shard", "source", "target"), words, rounds)
     def align(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        # of the table only what the shard's sentences can ask for
-        source_words, target_words = ({x for own in left[side] for sentence in own for x in sentence} for side in ("source", "target"))
-        own = right[right["s"].isin(source_words) & right["t"].isin(target_words)]
-        known = dict(zip(zip(own["s"], own["t"]), zip(own["p"], own["b"])))
+        known = dict(zip(zip(right["s"], right["t"]), zip(right["p"], right["b"])))
         out = []
         for row in left.itertuples():
             source, target = [list(x) for x in row.source], [list(x) for x in row.target]
@@ -307,7 +305,7 @@ def aligned_sentences(units: DataFrame, translations: DataFrame, rounds: int = 4
                     out.append((row.file_id, row.unit_id, i + 1, j + 1, [int(x) for x in row.spans[i]], float(s)))
         return pd.DataFrame(out, columns=["file_id", "unit_id", "source_no", "sent_no", "spans", "score"])
 
-    return per_shard(pairs, table, align, "file_id bigint, unit_id int, source_no int, sent_no int, spans array<int>, score double")
+    return per_shard(pairs, table, words, align, "file_id bigint, unit_id int, source_no int, sent_no int, spans array<int>, score double")
 
 
 def aligned_spans(units: DataFrame, translations: DataFrame, rounds: int = 4) -> DataFrame:
