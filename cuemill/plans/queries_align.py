@@ -34,7 +34,7 @@ def whole_cues(spark, d):
 @query()
 def segments(spark, d):
     """Dash lines of captions as segments."""
-    return subtitles.segments(whole_cues(spark, d), "file_id", []).select("file_id", "cue_id", "dash_index", "text", "resolved", "style_wrap", "music")
+    return subtitles.segments(whole_cues(spark, d), "file_id", [], F.col("lang")).select("file_id", "cue_id", "dash_index", "text", "resolved", "style_wrap", "music")
 
 
 @query()
@@ -42,13 +42,7 @@ def units(spark, d):
     """Translation units of all files; tested against a loop."""
     own = whole_cues(spark, d)
     lang = own.groupBy("file_id").agg(F.min("lang").alias("l"))
-    cues = own.join(lang, "file_id")
-    out = None
-    # the rules differ by script; each branch reads its own languages
-    for latin in (True, False):
-        part = cues.where(F.col("l").isin("zh", "ja") != F.lit(latin))
-        made = subtitles.units(part, "file_id", F.lit("en" if latin else "zh"), latin=latin)
-        out = made if out is None else out.unionByName(made)
+    out = subtitles.units(own.join(lang, "file_id"), "file_id", F.col("l"))
     return out.select("file_id", "unit_id", "chapter_id", "kind", "text", "resolved", F.size("spans").alias("n_spans"))
 
 

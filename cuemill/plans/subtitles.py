@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..functions import rules as R
@@ -38,32 +39,33 @@ def resolve_text(text: str, glossary: list[tuple[str, str]], latin: bool) -> str
     return None
 
 
-def segments(cues: DataFrame, key: str, glossary: list[tuple[str, str]], latin: bool = True) -> DataFrame:
-    """Segments of cues: key, seq, cue_id, dash_index, text, start_ms, end_ms, start_time, end_time, resolved, style_wrap, music. A dash line is a segment; a tag that wraps it whole is taken off."""
+def segments(cues: DataFrame, key: str, glossary: list[tuple[str, str]], language: Column) -> DataFrame:
+    """Segments of cues: key, seq, cue_id, dash_index, text, start_ms, end_ms, start_time, end_time, resolved, style_wrap, music. A dash line is a segment; a tag that wraps it whole is taken off. The rules for stammers and residual text follow the script of the language."""
+    cues = cues.withColumn("_language", language).withColumn("_latin", C.primary_subtag(language).isin(*S.LATIN_LANGUAGES))
 
-    @F.pandas_udf("string")
-    def resolve(texts: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None else resolve_text(x, glossary, latin) for x in texts])
+    @F.pandas_udf(T.StringType())
+    def resolve(texts: pd.Series, latin: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else resolve_text(x, glossary, bool(y)) for x, y in zip(texts, latin)])
 
     whole = cues.withColumn("_w", C.full_wrap(F.col("text"))).withColumn("_parts", C.dialogue_parts(F.col("_w.body")))
-    parts = whole.select(key, "cue_id", "start_time", "end_time", "start_ms", "end_ms", "_w", F.size("_parts").alias("_n"), F.posexplode("_parts").alias("dash_index", "_part"))
+    parts = whole.select(key, "cue_id", "start_time", "end_time", "start_ms", "end_ms", "_latin", "_language", "_w", F.size("_parts").alias("_n"), F.posexplode("_parts").alias("dash_index", "_part"))
     own = C.full_wrap(F.col("_part"))
     single = F.col("_w.tag").isNotNull() | (F.col("_n") == 1)
     text = F.when(single, F.col("_part")).otherwise(own["body"])
     rows = parts.withColumn("_text", text).withColumn("style_wrap", F.when(single, F.col("_w.tag")).otherwise(own["tag"]))
     # without a glossary only texts without words resolve, which needs no Python
-    resolved = resolve("_text") if glossary else F.when(~C.has_content(F.col("_text")), F.col("_text"))
+    resolved = resolve("_text", "_latin") if glossary else F.when(~C.has_content(F.col("_text")), F.col("_text"))
     rows = rows.withColumn("resolved", resolved)
-    final = F.when(F.col("resolved").isNull() & F.lit(latin), C.strip_stutter(F.col("_text"))).otherwise(F.col("_text"))
-    return rows.select(key, (F.col("cue_id").cast("bigint") * 64 + F.col("dash_index")).alias("seq"), "cue_id", "dash_index", final.alias("text"), "start_time", "end_time", "start_ms", "end_ms", "resolved", "style_wrap", C.is_music(final).alias("music"))
+    final = F.when(F.col("resolved").isNull() & F.col("_latin"), C.strip_stutter(F.col("_text"))).otherwise(F.col("_text"))
+    return rows.select(key, (F.col("cue_id").cast("bigint") * 64 + F.col("dash_index")).alias("seq"), "cue_id", "dash_index", final.alias("text"), "start_time", "end_time", "start_ms", "end_ms", "resolved", "style_wrap", C.is_music(final).alias("music"), F.col("_language").alias("language"))
 
 
-def units(cues: DataFrame, key: str, language: Column, glossary: list[tuple[str, str]] | None = None, latin: bool = True) -> DataFrame:
+def units(cues: DataFrame, key: str, language: Column, glossary: list[tuple[str, str]] | None = None) -> DataFrame:
     """Translation units: key, unit_id, chapter_id, kind, text, resolved, spans.
 
     Ids count over the chapters in order, so that songs between dialogue make them differ from the order of time."""
-    own = settled(segments(cues, key, glossary or [], latin))
-    grouped = settled(S.grouped_segments(own, [key], "seq", language))
+    own = settled(segments(cues, key, glossary or [], language))
+    grouped = settled(S.grouped_segments(own, [key], "seq", F.col("language")))
     groups = grouped.groupBy(key, "group_no").agg(F.min_by("start_ms", "seq").alias("start_ms"), F.max_by("end_ms", "seq").alias("end_ms"), F.when(F.bool_or("music"), "music").otherwise("dialogue").alias("kind"), F.count("*").alias("n"), F.max("resolved").alias("resolved"))
     chaptered = settled(S.chapters(settled(groups), [key], "kind", "group_no", "start_ms", "end_ms"))
     key_type = groups.schema[key].dataType.simpleString()
