@@ -13,6 +13,8 @@ from .ordered import settled, with_previous, with_running_sum
 
 #: A scene ends after a longer pause (ms), a chain holds so many segments, a quotation stays open over so many.
 SCENE_CHANGE_MS, MOST_CHAINED, MOST_QUOTED = 30_000, 16, 10
+#: Islands of segments that one call folds.
+ISLANDS = 256
 #: Languages written in Latin letters.
 LATIN_LANGUAGES = "en es fr de it pt nl pl sv da no fi ro cs hu tr id vi ms tl ca eu gl la hr sk sl lt lv et sq cy is af".split()
 
@@ -92,15 +94,17 @@ def grouped_segments(segments: DataFrame, keys: list[str], order: str, language:
 
     What merges depends on the segments before (open quotations, length of the chain), but never over a pause longer
     than a scene's without a reason to merge, nor over a resolved segment: there the order is cut into islands, and
-    the fold runs island by island, so that a long file isn't one task."""
+    the fold runs over a few hundred islands at a time, so that a long file isn't one task and an island isn't a call."""
     own = settled(merge_reasons(segments, keys, order, language))
     sure = F.col("gap_ms").isNull() | F.col("resolved").isNotNull() | (F.col("reason").isNull() & (F.col("gap_ms") > R.SCENE_MS))
     islands = with_running_sum(own, keys, order, F.when(sure, 1).otherwise(0), "_island")
     key_fields = {k: islands.schema[k].dataType.simpleString() for k in keys}
 
     def fold(frame: pd.DataFrame) -> pd.DataFrame:
-        size, pending, quoted, group, out = 0, False, 0, -1, []
+        size, pending, quoted, group, island, out = 0, False, 0, -1, None, []
         for row in frame.sort_values(order).itertuples(index=False):
+            if row.island_ != island:
+                island, size, pending, quoted = row.island_, 0, False, 0
             resolved = row.resolved is not None and row.resolved == row.resolved
             full, reason = size >= MOST_CHAINED, row.reason if isinstance(row.reason, str) else None
             merged = marked = False
@@ -119,15 +123,15 @@ def grouped_segments(segments: DataFrame, keys: list[str], order: str, language:
                 quoted = quoted + 1 if pending else 0
                 if quoted >= MOST_QUOTED:
                     pending = False
-            out.append((*[getattr(row, k) for k in keys], getattr(row, order), int(row._asdict()["island_"]), group, marked))
-        return pd.DataFrame(out, columns=[*keys, order, "island_", "_inner", "marker_boundary"])
-
-    schema = ", ".join([*[f"{k} {t}" for k, t in key_fields.items()], f"{order} {islands.schema[order].dataType.simpleString()}", "island_ bigint", "_inner int", "marker_boundary boolean"])
-    needed = islands.withColumnRenamed("_island", "island_").select(*keys, order, "island_", "text", "resolved", "reason", "gap_ms")
-    folded = settled(needed.groupBy(*keys, "island_").applyInPandas(fold, schema))
-    per_island = folded.groupBy(*keys, "island_").agg((F.max("_inner") + 1).alias("_groups"))
-    numbered = with_running_sum(per_island, keys, "island_", F.col("_groups"), "_upto")
-    groups = folded.join(numbered.select(*keys, "island_", (F.col("_upto") - F.col("_groups")).alias("_from")), [*keys, "island_"])
+            out.append((*[getattr(row, k) for k in keys], getattr(row, order), row.part_, group, marked))
+        return pd.DataFrame(out, columns=[*keys, order, "part_", "_inner", "marker_boundary"])
+
+    schema = ", ".join([*[f"{k} {t}" for k, t in key_fields.items()], f"{order} {islands.schema[order].dataType.simpleString()}", "part_ bigint", "_inner int", "marker_boundary boolean"])
+    needed = islands.select(*keys, order, F.col("_island").alias("island_"), F.floor(F.col("_island") / ISLANDS).alias("part_"), "text", "resolved", "reason", "gap_ms")
+    folded = settled(needed.groupBy(*keys, "part_").applyInPandas(fold, schema))
+    per_part = folded.groupBy(*keys, "part_").agg((F.max("_inner") + 1).alias("_groups"))
+    numbered = with_running_sum(per_part, keys, "part_", F.col("_groups"), "_upto")
+    groups = folded.join(numbered.select(*keys, "part_", (F.col("_upto") - F.col("_groups")).alias("_from")), [*keys, "part_"])
     return own.join(groups.select(*keys, order, (F.col("_from") + F.col("_inner") + 1).cast("bigint").alias("group_no"), "marker_boundary"), [*keys, order])
 
 
