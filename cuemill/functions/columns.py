@@ -486,3 +486,38 @@ def markdown_sections(c: Column) -> Column:
     names = F.transform(F.regexp_extract_all(F.concat(c, F.lit("\n")), F.lit(r"(?m)^## (.+?)[ \t]*$\n"), 1), F.trim)
     bodies = F.slice(F.split(F.concat(F.lit("\n"), c, F.lit("\n")), r"(?m)^## .+$\n"), 2, 1000)
     return F.transform(F.arrays_zip(names.alias("name"), F.transform(bodies, strip).alias("body")), lambda s: F.struct(s["name"].alias("name"), s["body"].alias("body")))
+
+
+def fill_template(template: Column, values: dict[str, Column]) -> Column:
+    """A template with {name} placeholders filled; a null value leaves nothing."""
+    return reduce(lambda col, item: F.replace(col, F.lit("{" + item[0] + "}"), F.coalesce(item[1].cast("string"), F.lit(""))), values.items(), template)
+
+
+def scoped_query(terms: Column, sites: list[str]) -> Column:
+    """A search limited to sites."""
+    clause = f"site:{sites[0]}" if len(sites) == 1 else "(" + " OR ".join(f"site:{s}" for s in sites) + ")"
+    return F.concat(F.lit(clause + " "), terms)
+
+
+def target_of(path: Column) -> Column:
+    """struct<edition, lang> of a source file's path; nulls for other paths."""
+    pattern = r"subtitles/([^/]+)/work/source/([^/]+)\.srt$"
+    hit = path.rlike(pattern)
+    return F.struct(F.when(hit, F.regexp_extract(path, pattern, 1)).alias("edition"), F.when(hit, F.regexp_extract(path, pattern, 2)).alias("lang"))
+
+
+def nearest(places: Column, goal: Column) -> Column:
+    """The element nearest to the goal, the lower one of two; null for none."""
+    return F.array_min(F.transform(places, lambda x: F.struct(F.abs(x - goal).alias("d"), x.alias("x"))))["x"]
+
+
+def latin_leaks(text: Column, forced: Column) -> Column:
+    """Distinct Latin words of two letters or more outside markup that no glossary target forces."""
+    plain = sub(text, r"\{\\[^}]*\}|<[^>]*>|⟦[^⟦⟧]*⟧", " ")
+    return F.array_distinct(F.filter(F.regexp_extract_all(plain, F.lit("[A-Za-z]{2,}"), 0), lambda w: ~F.array_contains(forced, w)))
+
+
+def marker_order(marker: Column) -> Column:
+    """struct<cue, part> to sort marker ids by number: 9 before 10, 10 before 10.1."""
+    parts = F.split(marker, r"\.")
+    return F.struct(parts.getItem(0).cast("int").alias("cue"), F.coalesce(F.get(parts, F.lit(1)).cast("int"), F.lit(0)).alias("part"))

@@ -184,3 +184,57 @@ def rendered_files(spark, d):
     """Whole subtitle files as text."""
     own = timed(spark, d).where(F.trim("text") != "").select("file_id", "cue_id", F.col("text"), C.time_text(F.col("s")).alias("start_time"), C.time_text(F.col("e")).alias("end_time"), F.lit(None).cast("string").alias("translation"))
     return srt.render(own, "file_id")
+
+
+@query("""SELECT file_path, regexp_extract(file_path, 'subtitles/([^/]+)/work/source/([^/]+)\\.srt$', 1) AS edition, regexp_extract(file_path, 'subtitles/([^/]+)/work/source/([^/]+)\\.srt$', 2) AS lang FROM subtitle_files GROUP BY file_path""")
+def file_targets(spark, d):
+    f = t(spark, d, "subtitle_files").select("file_path").distinct().withColumn("t", C.target_of(F.col("file_path")))
+    return f.select("file_path", "t.edition", "t.lang")
+
+
+@query("""WITH tr AS (SELECT file_id, unit_id, max_by(text, (requested_at, translation_id)) AS x FROM translations GROUP BY file_id, unit_id), w AS (SELECT file_id, unit_id, unnest(list_distinct(regexp_extract_all(regexp_replace(x, '\\{\\\\[^}]*\\}|<[^>]*>|⟦[^⟦⟧]*⟧', ' ', 'g'), '[A-Za-z]{2,}'))) AS w FROM tr WHERE x IS NOT NULL AND regexp_matches(x, '[一-鿿]'))
+SELECT file_id, unit_id, w AS word FROM w WHERE w NOT IN ('TV', 'DVD')""")
+def latin_leaks(spark, d):
+    """Latin words left in Chinese translations."""
+    own = pairs(spark, d).where(F.col("x").rlike("[一-鿿]"))
+    return own.select("file_id", "unit_id", F.explode(C.latin_leaks(F.col("x"), F.array(F.lit("TV"), F.lit("DVD")))).alias("word"))
+
+
+@query("""WITH a AS (SELECT DISTINCT file_id, unit_id FROM units), b AS (SELECT DISTINCT file_id, unit_id FROM translations WHERE text IS NOT NULL) SELECT * FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.file_id = a.file_id AND b.unit_id = a.unit_id)""")
+def untranslated_targets(spark, d):
+    """Units without an output yet."""
+    return translate.skip_done(t(spark, d, "units").select("file_id", "unit_id").distinct(), t(spark, d, "translations").where(F.col("text").isNotNull()), ["file_id", "unit_id"])
+
+
+@query("""SELECT tmdb_id, '(site:movie.douban.com OR site:douban.com) ' || title_en AS q, '# ' || title_en || ' (' || coalesce(CAST(year AS VARCHAR), '') || ')' AS heading FROM titles WHERE title_en IS NOT NULL""")
+def search_queries(spark, d):
+    own = t(spark, d, "titles").where(F.col("title_en").isNotNull())
+    return own.select("tmdb_id", C.scoped_query(F.col("title_en"), ["movie.douban.com", "douban.com"]).alias("q"), C.fill_template(F.lit("# {title} ({year})"), {"title": F.col("title_en"), "year": F.col("year").cast("int")}).alias("heading"))
+
+
+@query("""WITH s AS (SELECT file_id, unit_id, max_by(spans, chapter_id) AS spans FROM units GROUP BY file_id, unit_id), m AS (SELECT file_id, unit_id, unnest(list_filter(spans, lambda s: s.marker_id IS NOT NULL)) AS s FROM s)
+SELECT file_id, unit_id, string_agg(s.marker_id, ' ' ORDER BY CAST(split_part(s.marker_id, '.', 1) AS INT), coalesce(TRY_CAST(nullif(split_part(s.marker_id, '.', 2), '') AS INT), 0)) AS ids FROM m GROUP BY file_id, unit_id""")
+def marker_orders(spark, d):
+    u, _ = translated_units(spark, d)
+    m = u.select("file_id", "unit_id", F.explode("spans").alias("s")).where(F.col("s.marker_id").isNotNull()).select("file_id", "unit_id", F.col("s.marker_id").alias("m"))
+    return m.groupBy("file_id", "unit_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(C.marker_order(F.col("m")).alias("o"), "m"))), lambda x: x["m"]), " ").alias("ids"))
+
+
+@query()
+def protected_payloads(spark, d):
+    """Unit texts as HTML in which names stay."""
+    from ..functions import rules as R
+    from .queries_flow import TERMS
+
+    u, _ = translated_units(spark, d)
+    return u.select("file_id", "unit_id", R.protected_html("text", R.glossary_matches(TERMS)("text")).alias("html"))
+
+
+@query()
+def patched_units(spark, d):
+    """Cues that translations lack, recovered through the stub service."""
+    u, tr = translated_units(spark, d)
+    own = u.join(tr.select("file_id", "unit_id", F.col("text").alias("translation")), ["file_id", "unit_id"])
+    provider = translate.Provider(connector.Stub(rule=upper_reply))
+    again = translate.isolated_cues(own, "file_id", provider, F.lit("en"), F.lit("eo"))
+    return translate.patched(own, again, "file_id").select("file_id", "unit_id", "translation")

@@ -113,3 +113,31 @@ def sample_text(units: DataFrame, key: str, most: int = 500) -> DataFrame:
     run = with_running_sum(units.where(F.length("text") > 0).select(key, "unit_id", "text"), [key], "unit_id", F.length("text") + 1, "_upto")
     used = run.where(F.col("_upto") - F.length("text") - 1 < most)
     return used.groupBy(key).agg(F.left(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("unit_id", "text"))), lambda x: x["text"]), " "), F.lit(most)).alias("sample"))
+
+
+def isolated_cues(units: DataFrame, key: str, provider: Provider, source: Column, target: Column, radius: int = 3) -> DataFrame:
+    """(key, unit_id, marker_id, new) of marked cues that a translation lacks, each sent with its neighbours of the unit as context and taken if it came back once and plausible."""
+    lost = missing_cues(units, key)
+    marked = units.select(key, "unit_id", F.posexplode(F.filter("spans", lambda s: s["boundary"] == "marker")).alias("at", "s")).select(key, "unit_id", "at", F.col("s.marker_id").alias("marker_id"), F.col("s.text").alias("text"))
+    centre = lost.join(marked, [key, "unit_id", "marker_id"]).select(key, "unit_id", F.col("marker_id").alias("_lost"), F.col("text").alias("_text"), F.explode(F.sequence(F.col("at") - radius, F.col("at") + radius)).alias("at"))
+    windows = centre.join(marked, [key, "unit_id", "at"]).groupBy(key, "unit_id", "_lost", "_text").agg(F.array_sort(F.collect_list(F.struct("at", "marker_id", "text"))).alias("w"))
+    payload = F.array_join(F.transform("w", lambda x: F.concat(F.lit("⟦c"), x["marker_id"], F.lit("⟧ "), x["text"])), " ")
+    back = connector.call(windows.withColumn("payload", payload), "payload", provider.transport, provider.parallel).where(F.col("body").isNotNull())
+    new = F.try_element_at(C.cue_chunks(C.normalize_markers(F.col("body"))), F.col("_lost"))
+    return back.select(key, "unit_id", F.col("_lost").alias("marker_id"), new.alias("new"), "_text").where(problem(F.col("_text"), F.col("new"), source, target).isNull()).drop("_text")
+
+
+def patched(units: DataFrame, recovered: DataFrame, key: str, joiner: str = " ") -> DataFrame:
+    """Units whose translation takes in recovered cues, all chunks in the order of the spans."""
+    maps = recovered.groupBy(key, "unit_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("marker_id", "new")))).alias("_new"))
+    both = units.join(maps, [key, "unit_id"], "left")
+    ids = F.transform(F.filter("spans", lambda s: s["boundary"] == "marker"), lambda s: s["marker_id"])
+    own = C.cue_chunks(F.coalesce("translation", F.lit("")))
+    chunk = lambda i: F.coalesce(F.try_element_at("_new", i), F.try_element_at(own, i))
+    text = F.array_join(F.transform(F.filter(ids, lambda i: chunk(i).isNotNull()), lambda i: F.concat(F.lit("⟦c"), i, F.lit("⟧ "), chunk(i))), joiner)
+    return both.withColumn("translation", F.when(F.col("_new").isNotNull(), text).otherwise(F.col("translation"))).drop("_new")
+
+
+def skip_done(targets: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+    """Targets whose output isn't there yet."""
+    return targets.join(existing.select(*keys).distinct(), keys, "left_anti")

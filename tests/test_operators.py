@@ -301,3 +301,21 @@ def test_queries_run(spark, name):
     if not os.path.isdir(d):
         pytest.skip("no test data")
     assert registry.queries()[name](spark, d).count() > 0
+
+
+def test_isolated_cues_are_patched_in(spark):
+    spans = [("marker", "1", "Go home now"), ("marker", "2", "Not today my friend")]
+    u = spark.createDataFrame([("f", 1, "⟦c1⟧ won emoh oG", spans)], "k string, unit_id int, translation string, spans array<struct<boundary:string,marker_id:string,text:string>>")
+    reply = lambda x: "".join(p if p.startswith("⟦") else f" {p.strip()[::-1]} " for p in __import__("re").split(r"(⟦[^⟧]*⟧)", x))
+    found = translate.isolated_cues(u, "k", translate.Provider(connector.Stub(rule=reply)), F.lit("en"), F.lit("eo"))
+    assert [(r.marker_id, r.new) for r in found.collect()] == [("2", "dneirf ym yadot toN")]
+    assert translate.patched(u, found, "k").first().translation == "⟦c1⟧ won emoh oG ⟦c2⟧ dneirf ym yadot toN"
+
+
+def test_small_text_helpers(spark):
+    from cuemill.functions import columns as C
+
+    assert R.protected("a <i>b</i> & c", [(0, 1), (1, 2)]) == '<span translate="no">a </span><i>b</i> &amp; c'
+    assert R.pretty_html("<div><p>x</p></div>") == "<div>\n  <p>\n    x\n  </p>\n</div>"
+    row = spark.range(1).select(C.nearest(F.array(F.lit(3), F.lit(7)), F.lit(5)).alias("n"), C.replace_section(F.lit("a<s>x<e>b"), "<s>", "<e>", F.lit("y")).alias("r")).first()
+    assert row.n == 3 and tuple(row.r) == ("a<s>y<e>b", True)
