@@ -43,8 +43,8 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def _damaged(spark: SparkSession, d: str) -> DataFrame:
     documents = table(spark, d, "documents").select("doc_id", "text")
-    # a caption that was sent twice is looked at once
-    cues = table(spark, d, "cues").select("cue_key", "text", "ingested_at").groupBy("cue_key").agg(F.max_by("text", "ingested_at").alias("text"))
+    # repeated captions are looked at where they lie: only what is found is shuffled to be told apart
+    cues = table(spark, d, "cues").select("cue_key", "text")
     model = encoding.fit(table(spark, d, "eval_items").select("text"), [(documents, "doc_id", "text"), (cues, "cue_key", "text")])
     own = [encoding.damaged(df, key, "text", model).select(F.lit(name).alias("table_name"), F.col(key).cast("bigint").alias("row_key"), "restored", "spans") for df, key, name in ((documents, "doc_id", "documents"), (cues, "cue_key", "cues"))]
     return own[0].unionByName(own[1])
@@ -52,7 +52,8 @@ def _damaged(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_repairs(spark: SparkSession, d: str) -> DataFrame:
     """Damaged texts as they were before, as far as they can be given back, with the spans and encodings."""
-    return _damaged(spark, d)
+    found = _damaged(spark, d)
+    return found.groupBy("table_name", "row_key").agg(F.min_by(F.struct("restored", "spans"), "restored").alias("r")).select("table_name", "row_key", "r.restored", "r.spans")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
