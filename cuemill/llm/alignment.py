@@ -99,18 +99,26 @@ def source_sentences(spans: list) -> list[tuple[str, list[int]]]:
     return out
 
 
-def expectation(left: pd.DataFrame, known: pd.DataFrame | None, most_cells: int = 4_000_000) -> pd.DataFrame:
+def expectation(left: pd.DataFrame, known: pd.DataFrame | None, most_cells: int = 4_000_000, repeated: int = 3) -> pd.DataFrame:
     """Expected counts (s, t, c) of token pairs over the units of a shard; without a known table all pairs are alike.
 
+    A token that fewer than ``repeated`` units of the shard have says nothing about its translation and gives no counts.
     The shard's part of the table is held as a matrix; a shard with too many different tokens is worked on in halves."""
     source_ids: dict[str, int] = {}
     target_ids: dict[str, int] = {}
     units = []
+    often = []
+    for side in ("source", "target"):
+        seen: dict[str, int] = {}
+        for unit in left[side]:
+            for x in {x for own in unit for x in own}:
+                seen[x] = seen.get(x, 0) + 1
+        often.append({x for x, n in seen.items() if n >= min(repeated, len(left))})
     for source, target in zip(left["source"], left["target"]):
         if not len(source) or not len(target):
             continue
-        a = [(source_ids.setdefault(x, len(source_ids)), (i + 0.5) / len(source)) for i, own in enumerate(source) for x in own]
-        b = [(target_ids.setdefault(x, len(target_ids)), (j + 0.5) / len(target)) for j, own in enumerate(target) for x in own]
+        a = [(source_ids.setdefault(x, len(source_ids)), (i + 0.5) / len(source)) for i, own in enumerate(source) for x in own if x in often[0]]
+        b = [(target_ids.setdefault(x, len(target_ids)), (j + 0.5) / len(target)) for j, own in enumerate(target) for x in own if x in often[1]]
         if a and b:
             units.append((np.array([x for x, _ in a]), np.array([y for _, y in a], np.float32), np.array([x for x, _ in b]), np.array([y for _, y in b], np.float32)))
     if len(source_ids) * len(target_ids) > most_cells and len(left) > 1:
@@ -127,7 +135,7 @@ def expectation(left: pd.DataFrame, known: pd.DataFrame | None, most_cells: int
         p = np.exp(-3.0 * np.abs(at[:, None] - bt[None, :])) * table[a[:, None], b[None, :]]
         p /= p.sum(0, keepdims=True) + 0.02
         np.add.at(counts, (a[:, None], b[None, :]), p)
-    s, t = np.nonzero(counts > 1e-3)
+    s, t = np.nonzero(counts > 0.02)
     sources, targets = np.array(list(source_ids), object), np.array(list(target_ids), object)
     return pd.DataFrame({"s": sources[s], "t": targets[t], "c": counts[s, t].astype(float)})
 
@@ -219,10 +227,15 @@ def rarity(lists: list[list[str]]) -> dict[str, float]:
     return {x: math.log(1 + n / c) for x, c in seen.items()}
 
 
-def link(source: list[list[str]], target: list[list[str]], table: Table, least: float = 0.3, more: float = 0.5, share: float = 0.4) -> list[tuple[int, int, float]]:
+def link(source: list[list[str]], target: list[list[str]], table: Table, known: tuple[set[str], set[str]] | None = None, least: float = 0.3, more: float = 0.5, share: float = 0.4) -> list[tuple[int, int, float]]:
     """Competitive linking: the best free pair anywhere first; then pairs that merge or split an already linked sentence, if the tokens that are left over speak for it."""
     n, m = len(source), len(target)
     ws, wt = rarity(source), rarity(target)
+    # tokens that the table doesn't know and the other side doesn't have weigh little: names that occur once
+    known_s, known_t = known or ({s for s, _ in table}, {t for _, t in table})
+    same = {x for own in source for x in own} & {x for own in target for x in own}
+    ws = {x: w if x in known_s or x in same else 0.25 * w for x, w in ws.items()}
+    wt = {x: w if x in known_t or x in same else 0.25 * w for x, w in wt.items()}
     fore = [[explained(a, b, table, True) for b in target] for a in source]
     back = [[explained(b, a, table, False) for b in target] for a in source]
     order = []
@@ -297,11 +310,12 @@ def aligned_sentences(units: DataFrame, translations: DataFrame, rounds: int = 4
     table = train(pairs.select("pair", "shard", "source", "target"), words, rounds)
     def align(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         known = dict(zip(zip(right["s"], right["t"]), zip(right["p"], right["b"])))
+        both = set(right["s"]), set(right["t"])
         out = []
         for row in left.itertuples():
             source, target = [list(x) for x in row.source], [list(x) for x in row.target]
             if source and target:
-                for i, j, s in link(source, target, known):
+                for i, j, s in link(source, target, known, both):
                     out.append((row.file_id, row.unit_id, i + 1, j + 1, [int(x) for x in row.spans[i]], float(s)))
         return pd.DataFrame(out, columns=["file_id", "unit_id", "source_no", "sent_no", "spans", "score"])
 
