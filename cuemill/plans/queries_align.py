@@ -179,7 +179,8 @@ def synopsis_sections(spark, d):
     return own.select("doc_id", F.map_keys("s").alias("names"), synopsis.required(F.col("s"))["missing"].alias("missing"))
 
 
-@query()
+@query("""WITH c AS (SELECT file_id, cue_id, max_by(text, ingested_at) AS x, replace(max_by(start_time, ingested_at), '.', ',') AS s, replace(max_by(end_time, ingested_at), '.', ',') AS e FROM cues GROUP BY file_id, cue_id),
+n AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY cue_id) AS i FROM c WHERE trim(x) <> '') SELECT file_id, string_agg(i || chr(10) || s || ' --> ' || e || chr(10) || x, chr(10) || chr(10) ORDER BY cue_id) || chr(10) AS content FROM n GROUP BY file_id""")
 def rendered_files(spark, d):
     """Whole subtitle files as text."""
     own = timed(spark, d).where(F.trim("text") != "").select("file_id", "cue_id", F.col("text"), C.time_text(F.col("s")).alias("start_time"), C.time_text(F.col("e")).alias("end_time"), F.lit(None).cast("string").alias("translation"))
