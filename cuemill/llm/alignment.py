@@ -99,10 +99,10 @@ def source_sentences(spans: list) -> list[tuple[str, list[int]]]:
     return out
 
 
-def expectation(left: pd.DataFrame, known: pd.DataFrame | None, most_cells: int = 4_000_000, repeated: int = 3) -> pd.DataFrame:
+def expectation(left: pd.DataFrame, known: pd.DataFrame | None, most_cells: int = 4_000_000) -> pd.DataFrame:
     """Expected counts (s, t, c) of token pairs over the units of a shard; without a known table all pairs are alike.
 
-    A token that fewer than ``repeated`` units of the shard have says nothing about its translation and gives no counts.
+    A token of one or two units says nothing about its translation where the shard has many, and gives no counts.
     The shard's part of the table is held as a matrix; a shard with too many different tokens is worked on in halves."""
     source_ids: dict[str, int] = {}
     target_ids: dict[str, int] = {}
@@ -113,7 +113,7 @@ def expectation(left: pd.DataFrame, known: pd.DataFrame | None, most_cells: int
         for unit in left[side]:
             for x in {x for own in unit for x in own}:
                 seen[x] = seen.get(x, 0) + 1
-        often.append({x for x, n in seen.items() if n >= min(repeated, len(left))})
+        often.append({x for x, n in seen.items() if n >= max(1, min(3, len(left) // 50))})
     for source, target in zip(left["source"], left["target"]):
         if not len(source) or not len(target):
             continue
@@ -135,7 +135,8 @@ def expectation(left: pd.DataFrame, known: pd.DataFrame | None, most_cells: int
         p = np.exp(-3.0 * np.abs(at[:, None] - bt[None, :])) * table[a[:, None], b[None, :]]
         p /= p.sum(0, keepdims=True) + 0.02
         np.add.at(counts, (a[:, None], b[None, :]), p)
-    s, t = np.nonzero(counts > 0.02)
+    # counts that are small beside the shard say nothing, those of the first round, which knows no words, all the less
+    s, t = np.nonzero(counts > (2e-4 if known is None else 7e-5) * len(left))
     sources, targets = np.array(list(source_ids), object), np.array(list(target_ids), object)
     return pd.DataFrame({"s": sources[s], "t": targets[t], "c": counts[s, t].astype(float)})
 
@@ -180,7 +181,7 @@ def only_units(step):
     return run
 
 
-def train(units: DataFrame, words: tuple[DataFrame, DataFrame], rounds: int = 4, floor: float = 0.01) -> DataFrame:
+def train(units: DataFrame, words: tuple[DataFrame, DataFrame], rounds: int = 3, floor: float = 0.02) -> DataFrame:
     """Translation tables (pair, s, t, p, b) of all language pairs, from units (pair, shard, source, target) of tokenised sentences.
 
     p is the share of the source token's counts, b that of the target token's. Entries with both below ``floor`` say no
@@ -276,7 +277,7 @@ def link(source: list[list[str]], target: list[list[str]], table: Table, known:
     return sorted(links)
 
 
-def bitext(units: DataFrame, translations: DataFrame, shard_units: int = 250) -> DataFrame:
+def bitext(units: DataFrame, translations: DataFrame, shard_units: int = 1000) -> DataFrame:
     """Units with tokenised sentences of both sides: pair, shard, file_id, unit_id, source, spans, target."""
     own = translations.where((F.length("text") > 0) & F.col("target_lang").isNotNull()).groupBy("file_id", "unit_id").agg(
         F.max_by(F.struct("source_lang", "detected_source_lang", "target_lang", "text"), F.struct("requested_at", "translation_id")).alias("t")
@@ -302,7 +303,7 @@ def bitext(units: DataFrame, translations: DataFrame, shard_units: int = 250) ->
     return cut_units.join(sizes, "pair").withColumn("shard", F.pmod(F.xxhash64("file_id", "unit_id"), F.col("shards")).cast("int")).drop("shards")
 
 
-def aligned_sentences(units: DataFrame, translations: DataFrame, rounds: int = 4) -> DataFrame:
+def aligned_sentences(units: DataFrame, translations: DataFrame, rounds: int = 3) -> DataFrame:
     """Linked sentences: file_id, unit_id, source_no, sent_no, spans of the source sentence, score."""
     ensure_checkpoint_dir(units.sparkSession)
     pairs = bitext(units, translations).checkpoint()
@@ -322,7 +323,7 @@ def aligned_sentences(units: DataFrame, translations: DataFrame, rounds: int = 4
     return per_shard(pairs, table, words, align, "file_id bigint, unit_id int, source_no int, sent_no int, spans array<int>, score double")
 
 
-def aligned_spans(units: DataFrame, translations: DataFrame, rounds: int = 4) -> DataFrame:
+def aligned_spans(units: DataFrame, translations: DataFrame, rounds: int = 3) -> DataFrame:
     """(file_id, unit_id, span_id, sent_no) of each span and each target sentence that renders a source sentence of which the span holds a piece."""
     found = aligned_sentences(units, translations, rounds)
     return found.select("file_id", "unit_id", F.explode("spans").alias("span_id"), "sent_no").distinct()
