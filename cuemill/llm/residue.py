@@ -37,13 +37,14 @@ LATIN_FILLER = (
 #: Customary filler sentences.
 FILLER_SEEDS = """Your text goes here. Replace this sample paragraph with the synopsis.
 This is placeholder text. This is placeholder text for the plot section. Coming soon: content to be added by an editor.
-Sample description. Sample description. Sample text / sample text / sample text. Insert your content here. Dummy text dummy text.
+Sample description. Sample description. Sample text / sample text / sample text. Insert your content here. Dummy text dummy text. content here content here content here / content here
+blah blah blah, blah, blah, blah, bla bla bla, bla, bla / bla / bla asdf asdf asdf, asdf, asdf / asdf xxxx xxxx xxxx, xxxx, xxxx / xxxx xxx xxx xxx, xxx, xxx ххх ххх ххх, ххх, ххх 内容待定内容待定内容待定
 这里是占位文本，请替换为正式简介。此处内容待编辑填写，此处内容待编辑填写。本段只是示例文字，正式内容尚未撰写。
 占位占位占位占位占位占位 示例文字示例文字示例文字 样例文本样例文本 此处为占位内容，请在此输入正文。内容待补充。
 これはダミーテキストです。あらすじは後日追加されます。ここに本文が入ります。サンプル文を差し替えてください。
 ダミーダミーダミーダミー サンプルテキストサンプルテキストサンプルテキスト 仮の文章です。本文は準備中です。
 Ceci est un texte de remplissage. Remplacez ce texte d'exemple par le résumé. Texte d'exemple à compléter par la rédaction. Votre texte ici. Contenu à venir.
-Dies ist ein Blindtext. Das hier ist ein Platzhalter für den Text der Handlung. Hier steht ein Beispieltext. Bitte ersetzen Sie diesen Mustertext. Inhalt folgt.
+Dies ist ein Blindtext. Das hier ist ein Platzhalter für den Text der Handlung. Hier steht ein Beispieltext. Hier steht später die Handlung, bitte diesen Text ersetzen. Bitte ersetzen Sie diesen Mustertext. Inhalt folgt.
 Este es un texto de ejemplo. Texto de relleno, reemplácelo por la sinopsis. Aquí va el texto de la trama. Contenido pendiente de completar por el editor.
 Texto de exemplo a ser completado pelo editor. Este é um texto de preenchimento, substitua pela sinopse. O seu texto aqui. Conteúdo em breve.
 Здесь будет текст описания, замените этот образец. Это текст-заполнитель для раздела «Сюжет». Пример текста, который нужно заменить. Текст-рыба. Содержание появится позже.""".split("\n")
@@ -52,6 +53,11 @@ Texto de exemplo a ser completado pelo editor. Este é um texto de preenchimento
 ERROR_SEEDS = """404 Not Found. 403 Forbidden. 500 Internal Server Error. 502 Bad Gateway. 503 Service Unavailable. 504 Gateway Timeout. HTTP 404. HTTP 500. HTTP 503. Error 404. Error 500. Oops! Something went wrong. Access denied.
 The page you requested could not be found. You do not have permission to open this resource. Your request was blocked by our firewall. The server did not respond in time. The upstream host sent an invalid reply. An unexpected condition was met while handling the request.
 Contact the administrator if this persists. Go back to the home page. Request ID: 74fff01b. Reference #a9c400fb. Retry after 23 seconds. We are down for maintenance. Unusual traffic was detected from your network. Please sign in to continue. Home | Films | Login
+Please try again later. This entry has been removed or renamed. Too many requests came from your address. Retry after 60 seconds. The service is temporarily unavailable. This content is no longer available. Session expired.
+服务器繁忙，暂时无法处理请求。该内容可能已被删除。没有权限查看该条目。系统提示。抱歉。23秒后重试。访问被拒绝。请返回首页。网关超时。
+ただいまサーバーが混み合っています。サーバーエラー。リクエスト番号74fff01b。60秒後に再試行してください。この項目は削除された可能性があります。アクセスが集中しています。
+Le service est temporairement indisponible. Référence 74fff01b. Ce contenu a peut-être été supprimé. Trop de requêtes. Délai dépassé. Der Dienst ist vorübergehend nicht verfügbar. Dieser Eintrag wurde gelöscht oder umbenannt. Zu viele Anfragen. Zeitüberschreitung.
+El servicio no está disponible temporalmente. Vuelva a la página de inicio. Referencia 74fff01b. Demasiadas solicitudes. O serviço está temporariamente indisponível. Referência 74fff01b. Demasiados pedidos. Este conteúdo foi removido. Сервис временно недоступен. Код запроса 74fff01b. Слишком много запросов. Запись удалена. Разрешите JavaScript, чтобы просмотреть эту страницу.
 Please enable JavaScript and cookies, then reload. Activate JavaScript to view this page. You need to turn on scripting support in your browser settings. Your browser has disabled scripts. This site does not work without JavaScript and cookies. To continue, allow scripts, then reload.
 页面不存在。您访问的页面找不到了。服务器内部错误。拒绝访问。您没有权限查看此页面。网站正在维护中。检测到来自您网络的异常请求。请求编号：74fff01b。请登录后再访问。请稍后再试。返回首页。服务器没有及时响应。错误 404。
 请开启 JavaScript 和 Cookie，然后刷新页面。请在浏览器中允许脚本才能正常显示。本站需要启用脚本。您的浏览器已禁用 JavaScript。
@@ -73,7 +79,7 @@ PROSE_SEEDS = """{\\an8}Lobema lost $5 and {\\i1}everything{\\i0} at the fair. <
 ⟦c3⟧ Lomora waits. ⟦c4.1⟧ Kadone does not. ⟦c12⟧ ♪ la la la ♪ [DOOR OPENS] [MUSIC] [LAUGHS] (SIGHS) [uncredited] (played by Neriko) He insists on 50%. She steps in with 100% of the money.
 ## Plot ## Handlung ## Intrigue ## Trama ## Enredo ## Сюжет ## 剧情 ## あらすじ [1] [2] [citation needed] [sic] 【旁白】 【音乐】 [TÜR ÖFFNET SICH] [suena el teléfono] [PORTE] [МУЗЫКА]
 Nolo learns JavaScript in prison and sells the code. The script needs cookies for the kitchen scene. Tade works in room 404 and never leaves it. He runs the server room, and the error was never explained. A poster in the hall reads "Lorem ipsum", and she asks what it means.
-The vault keeps repeating that access is denied, and she laughs. 他住在404号房间，从不出门。他推开门，说他学过JavaScript。404号室に住んでいて、外へ出ない。Он живёт в комнате 404 и никого не пускает.""".split("\n")
+The vault keeps repeating that access is denied, and she laughs. 他住在404号房间，从不出门。他推开门，说他学过JavaScript。他说服务器坏了，她不相信。404号室に住んでいて、外へ出ない。Он живёт в комнате 404 и никого не пускает.""".split("\n")
 
 #: Usual names of template fields, and the ways in which templates mark a field.
 FIELD_NAMES = "title name date year author director overview synopsis summary runtime provider theme description url link id first_name last_name film_name title_zh title_en release_date plot_outline table_cast input_repo_name company email address price user subject content body section image".split()
