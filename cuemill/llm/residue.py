@@ -201,7 +201,7 @@ def find_spans(texts: list[str], model: ResidueModel, window: int = 24, high: fl
             sums = total[base : base + len(text) + 1, FIELD - 1]
             for m in DELIMITED.finditer(text):
                 begin, end = m.span()
-                if HARD.fullmatch(m.group()) or sums[end] - sums[begin] >= high * min(window, end - begin):
+                if HARD.fullmatch(m.group()) or sums[end] - sums[begin] >= max(10.0, high * min(window, end - begin)):
                     spans.append((begin, end, KINDS[FIELD]))
         found.append(sorted(spans))
         base += len(text) + 3
