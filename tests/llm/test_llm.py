@@ -217,6 +217,18 @@ def test_assignment_is_optimal():
             assert sum(c for *_, c in got) >= best - 1e-4
 
 
+def test_large_components_are_solved_by_rounds(spark):
+    r = random.Random(13)
+    pairs = list({(f"l{r.randrange(30)}", f"r{r.randrange(40)}"): None for _ in range(200)})
+    pairs = [(a, b, round(r.uniform(0.5, 1), 3)) for a, b in pairs]
+    df = spark.createDataFrame(pairs, "left_id string, right_id string, confidence double")
+    for slots in (1, 2):
+        got = [tuple(x) for x in matching.assign(df, slots, most_pairs=5).collect()]
+        best = matching.auction(pairs, slots)
+        assert len({b for _, b, _ in got}) == len(got) and max(sum(x[0] == a for x in got) for a, *_ in got) <= slots
+        assert sum(c for *_, c in got) >= 0.5 * sum(c for *_, c in best) and len(got) >= 0.8 * len(best)
+
+
 def test_films(spark):
     t = [(1, "The Silent Harbor of Kalamo", "卡拉莫的寂静港口", 2004, "Tako Sesavisa", 120), (2, "The Silent Harbor of Kalamo", None, 1984, "Movo Monolu", 95), (3, "A Final Library", "最后的图书馆", 2010, None, None), (4, None, None, None, None, None), (1, "The Silent Harbor of Kalamo", "卡拉莫的寂静港口", 2004, "Tako Sesavisa", 120)]
     s = [("a", "卡拉莫的寂静港口 - 电影 - 豆瓣", "Teh Silent Habror of Kalamo", 2004, "T. Sesavisa", 121), ("b", "别的 (1984)", "The_Silent_Harbor_of_Kalamo", 1984, "MOVO MONOLU", 95), ("c", "《最后的图书馆2》", "A Final Library 2", 2010, None, None), ("d", "《最后的图书馆》", None, 2010, None, None), ("e", "卡拉莫的寂静港口", None, 2005, "Sesavisa Tako", None)]
