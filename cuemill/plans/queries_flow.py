@@ -221,4 +221,4 @@ def glossary_from_titles(spark, d):
 
 @query(f"""WITH {CUES} SELECT file_id, count(*) AS cues, count(DISTINCT lang) AS langs, min(cue_id) AS first_id, max(cue_id) AS last_id FROM cu GROUP BY file_id""")
 def file_summary(spark, d):
-    return cue_texts(spark, d).groupBy("file_id").agg(F.count("*").alias("cues"), F.count_distinct("lang").alias("langs"), F.min("cue_id").alias("first_id"), F.max("cue_id").alias("last_id"))
+    return cue_texts(spark, d, "file_id", "lang", "cue_id").groupBy("file_id").agg(F.count("*").alias("cues"), F.count_distinct("lang").alias("langs"), F.min("cue_id").alias("first_id"), F.max("cue_id").alias("last_id"))

@@ -29,9 +29,9 @@ def t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def cue_texts(spark: SparkSession, d: str) -> DataFrame:
-    """Each caption once: a repeated key's rows differ in when they came, and the latest holds."""
-    return t(spark, d, "cues").groupBy("cue_key").agg(F.max_by(F.struct("text", "lang", "start_time", "end_time", "file_id", "cue_id"), "ingested_at").alias("c")).select("cue_key", "c.*")
+def cue_texts(spark: SparkSession, d: str, *fields: str) -> DataFrame:
+    """Each caption once, with the named fields: a repeated key's rows differ in when they came, and the latest holds. Only what is named is read and shuffled."""
+    return t(spark, d, "cues").groupBy("cue_key").agg(F.max_by(F.struct(*(fields or ("text",))), "ingested_at").alias("c")).select("cue_key", "c.*")
 
 
 #: The captions in SQL, as cue_texts gives them.
@@ -53,13 +53,13 @@ def boundary_classes(spark, d):
  (CAST(split_part(replace(start_time, '.', ','), ':', 1) AS BIGINT) * 60 + CAST(split_part(start_time, ':', 2) AS BIGINT)) * 60000 + CAST(replace(replace(split_part(start_time, ':', 3), ',', ''), '.', '') AS BIGINT) AS start_ms,
  (CAST(split_part(end_time, ':', 1) AS BIGINT) * 60 + CAST(split_part(end_time, ':', 2) AS BIGINT)) * 60000 + CAST(replace(replace(split_part(end_time, ':', 3), ',', ''), '.', '') AS BIGINT) AS end_ms FROM cu""")
 def cue_times(spark, d):
-    return cue_texts(spark, d).select("cue_key", C.time_ms(F.col("start_time")).alias("start_ms"), C.time_ms(F.col("end_time")).alias("end_ms"))
+    return cue_texts(spark, d, "start_time", "end_time").select("cue_key", C.time_ms(F.col("start_time")).alias("start_ms"), C.time_ms(F.col("end_time")).alias("end_ms"))
 
 
 @query(f"""WITH {CUES}, m AS (SELECT file_id, max((CAST(split_part(end_time, ':', 1) AS BIGINT) * 60 + CAST(split_part(end_time, ':', 2) AS BIGINT)) * 60000 + CAST(replace(replace(split_part(end_time, ':', 3), ',', ''), '.', '') AS BIGINT)) AS last_ms FROM cu GROUP BY file_id)
 SELECT file_id, last_ms, printf('%02d:%02d:%02d,%03d', last_ms // 3600000, last_ms // 60000 % 60, last_ms // 1000 % 60, last_ms % 1000) AS last_time FROM m""")
 def file_ends(spark, d):
-    m = cue_texts(spark, d).groupBy("file_id").agg(F.max(C.time_ms(F.col("end_time"))).alias("last_ms"))
+    m = cue_texts(spark, d, "file_id", "end_time").groupBy("file_id").agg(F.max(C.time_ms(F.col("end_time"))).alias("last_ms"))
     return m.withColumn("last_time", C.time_text(F.col("last_ms")))
 
 
@@ -138,7 +138,7 @@ l AS (SELECT *, list_filter(list_transform(string_split(x, chr(10)), lambda y: t
 p AS (SELECT *, CASE lang WHEN 'en' THEN 20 WHEN 'ru' THEN 17 ELSE 17 END AS c, CASE lang WHEN 'ru' THEN 39 ELSE 42 END AS w FROM l)
 SELECT cue_key, round(len(array_to_string(ls, ' ')) / greatest(ms / 1000.0, 0.001), 6) AS cps, len(array_to_string(ls, ' ')) / greatest(ms / 1000.0, 0.001) > c AS over_cps, coalesce(list_max(list_transform(ls, lambda y: len(y))), 0) > w AS over_length FROM p""")
 def reading_speeds(spark, d):
-    own = cue_texts(spark, d).where(F.col("lang").isin("en", "fr", "de", "es", "pt", "ru"))
+    own = cue_texts(spark, d, "text", "lang", "start_time", "end_time").where(F.col("lang").isin("en", "fr", "de", "es", "pt", "ru"))
     s = C.reading_speed(F.col("text"), C.time_ms(F.col("end_time")) - C.time_ms(F.col("start_time")), C.language_key(F.col("lang")))
     return own.select("cue_key", s.alias("s")).select("cue_key", F.round("s.cps", 6).alias("cps"), "s.over_cps", "s.over_length")
 
@@ -146,7 +146,7 @@ def reading_speeds(spark, d):
 @query()
 def reading_speeds_weighted(spark, d):
     """Captions whose script weighs its characters; tested against a loop."""
-    own = cue_texts(spark, d).where(F.col("lang").isin("zh", "ja"))
+    own = cue_texts(spark, d, "text", "lang", "start_time", "end_time").where(F.col("lang").isin("zh", "ja"))
     s = C.reading_speed(F.col("text"), C.time_ms(F.col("end_time")) - C.time_ms(F.col("start_time")), C.language_key(F.col("lang")))
     return own.select("cue_key", s.alias("s")).select("cue_key", F.round("s.cps", 6).alias("cps"), "s.over_cps", "s.over_length")
 
@@ -273,7 +273,7 @@ def contexts(spark, d):
 def cleaned_cues(spark, d):
     """English captions without sound descriptions and speaker labels."""
     lines = F.filter(F.transform(F.split("text", "\n"), lambda x: C.collapse(C.keep_style_tags(x))), lambda x: x != "")
-    own = cue_texts(spark, d).where(F.col("lang") == "en").select("cue_key", lines.alias("lines"))
+    own = cue_texts(spark, d, "text", "lang").where(F.col("lang") == "en").select("cue_key", lines.alias("lines"))
     return own.select("cue_key", "lines", R.clean_cue("lines").alias("clean"))
 
 
