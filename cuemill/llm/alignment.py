@@ -102,23 +102,16 @@ def source_sentences(spans: list) -> list[tuple[str, list[int]]]:
 def expectation(left: pd.DataFrame, known: pd.DataFrame | None, most_cells: int = 4_000_000) -> pd.DataFrame:
     """Expected counts (s, t, c) of token pairs over the units of a shard; without a known table all pairs are alike.
 
-    A token of one or two units says nothing about its translation where the shard has many, and gives no counts.
+    Every token gives counts, however few units of the shard it is in: those of all shards are yet to be added.
     The shard's part of the table is held as a matrix; a shard with too many different tokens is worked on in halves."""
     source_ids: dict[str, int] = {}
     target_ids: dict[str, int] = {}
     units = []
-    often = []
-    for side in ("source", "target"):
-        seen: dict[str, int] = {}
-        for unit in left[side]:
-            for x in {x for own in unit for x in own}:
-                seen[x] = seen.get(x, 0) + 1
-        often.append({x for x, n in seen.items() if n >= max(1, min(3, len(left) // 50))})
     for source, target in zip(left["source"], left["target"]):
         if not len(source) or not len(target):
             continue
-        a = [(source_ids.setdefault(x, len(source_ids)), (i + 0.5) / len(source)) for i, own in enumerate(source) for x in own if x in often[0]]
-        b = [(target_ids.setdefault(x, len(target_ids)), (j + 0.5) / len(target)) for j, own in enumerate(target) for x in own if x in often[1]]
+        a = [(source_ids.setdefault(x, len(source_ids)), (i + 0.5) / len(source)) for i, own in enumerate(source) for x in own]
+        b = [(target_ids.setdefault(x, len(target_ids)), (j + 0.5) / len(target)) for j, own in enumerate(target) for x in own]
         if a and b:
             units.append((np.array([x for x, _ in a]), np.array([y for _, y in a], np.float32), np.array([x for x, _ in b]), np.array([y for _, y in b], np.float32)))
     if len(source_ids) * len(target_ids) > most_cells and len(left) > 1:

@@ -280,6 +280,21 @@ def test_alignment_finds_planted_links(spark):
     assert alignment.aligned_spans(df.limit(0), tr.limit(0), rounds=1).count() == 0
 
 
+def test_words_thinly_spread_over_shards_count(spark):
+    r = random.Random(21)
+    rows = []
+    for shard in range(4):
+        for u in range(200):
+            own = r.sample(range(40), 3)
+            source, target = [f"s{x}" for x in own], [f"t{x}" for x in own]
+            if u == 50 * shard:
+                source, target = [*source, "thin"], [*target, "mince"]
+            rows.append(("en-fr", shard, [source], [target]))
+    df = spark.createDataFrame(rows, "pair string, shard int, source array<array<string>>, target array<array<string>>")
+    table = {(x.s, x.t): x.p for x in alignment.train(df, alignment.words_of(df)).collect()}
+    assert table["thin", "mince"] > 0.5
+
+
 # ---- packing ----
 def test_placement_minimises_the_sum_of_squares():
     r = random.Random(9)
