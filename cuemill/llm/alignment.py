@@ -99,9 +99,13 @@ def source_sentences(spans: list) -> list[tuple[str, list[int]]]:
     return out
 
 
-def expectation(left: pd.DataFrame, known: pd.DataFrame | None, most_cells: int = 4_000_000) -> pd.DataFrame:
+def expectation(left: pd.DataFrame, known: pd.DataFrame | None, small: float = 0.0, most_cells: int = 8_000_000) -> pd.DataFrame:
     """Expected counts (s, t, c) of token pairs over the units of a shard; without a known table all pairs are alike.
 
+    Rows without t or s hold the whole count of a source or a target token. A pair whose count is below the share
+    ``small`` of both its tokens' counts is left to these; added over all shards, what is left out of a pair is below
+    that share of its tokens' whole counts, whatever the shards are.
+
     Every token gives counts, however few units of the shard it is in: those of all shards are yet to be added.
     The shard's part of the table is held as a matrix; a shard with too many different tokens is worked on in halves."""
     source_ids: dict[str, int] = {}
@@ -116,7 +120,7 @@ def expectation(left: pd.DataFrame, known: pd.DataFrame | None, most_cells: int
             units.append((np.array([x for x, _ in a]), np.array([y for _, y in a], np.float32), np.array([x for x, _ in b]), np.array([y for _, y in b], np.float32)))
     if len(source_ids) * len(target_ids) > most_cells and len(left) > 1:
         half = len(left) // 2
-        return pd.concat([expectation(left.iloc[:half], known, most_cells), expectation(left.iloc[half:], known, most_cells)], ignore_index=True)
+        return pd.concat([expectation(left.iloc[:half], known, small, most_cells), expectation(left.iloc[half:], known, small, most_cells)], ignore_index=True)
     table = np.full((max(1, len(source_ids)), max(1, len(target_ids))), 1.0 if known is None else 1e-6, np.float32)
     if known is not None and len(known):
         s, t = known["s"].map(source_ids), known["t"].map(target_ids)
@@ -128,19 +132,28 @@ def expectation(left: pd.DataFrame, known: pd.DataFrame | None, most_cells: int
         p = np.exp(-3.0 * np.abs(at[:, None] - bt[None, :])) * table[a[:, None], b[None, :]]
         p /= p.sum(0, keepdims=True) + 0.02
         np.add.at(counts, (a[:, None], b[None, :]), p)
-    # counts that are small beside the shard say nothing, those of the first round, which knows no words, all the less
-    s, t = np.nonzero(counts > (2e-4 if known is None else 7e-5) * len(left))
-    sources, targets = np.array(list(source_ids), object), np.array(list(target_ids), object)
-    return pd.DataFrame({"s": sources[s], "t": targets[t], "c": counts[s, t].astype(float)})
+    of_s, of_t = counts.sum(1, dtype=np.float64), counts.sum(0, dtype=np.float64)
+    kept = counts > 0
+    kept &= (counts >= small * of_s[:, None].astype(np.float32)) | (counts >= small * of_t[None, :].astype(np.float32))
+    s, t = np.nonzero(kept)
+    sources, targets = np.array([*source_ids, None], object), np.array([*target_ids, None], object)
+    n, m = len(source_ids), len(target_ids)
+    return pd.DataFrame(
+        {
+            "s": sources[np.concatenate([s, np.arange(n), np.full(m, n)])],
+            "t": targets[np.concatenate([t, np.full(n, m), np.arange(m)])],
+            "c": np.concatenate([counts[s, t], of_s[:n], of_t[:m]]).astype(float),
+        }
+    )
 
 
-def shard_step(first: bool):
+def shard_step(first: bool, small: float):
     """The expectation of one shard as a function of its units and the table; the first round has no table."""
 
     def step(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty:
             return pd.DataFrame({"pair": [], "s": [], "t": [], "c": []})
-        found = expectation(left, None if first else right)
+        found = expectation(left, None if first else right, small)
         found.insert(0, "pair", left["pair"].iloc[0])
         return found
 
@@ -174,19 +187,21 @@ def only_units(step):
     return run
 
 
-def train(units: DataFrame, words: tuple[DataFrame, DataFrame], rounds: int = 3, floor: float = 0.02) -> DataFrame:
+def train(units: DataFrame, words: tuple[DataFrame, DataFrame], rounds: int = 4, floor: float = 0.01) -> DataFrame:
     """Translation tables (pair, s, t, p, b) of all language pairs, from units (pair, shard, source, target) of tokenised sentences.
 
-    p is the share of the source token's counts, b that of the target token's. Entries with both below ``floor`` say no
-    more than the smoothing that stands for them and are left out, so that a token keeps at most 1 / floor entries."""
+    p is the share of the source token's counts, b that of the target token's, both of the counts of all shards. Entries
+    with both below ``floor`` say no more than the smoothing that stands for them and are left out. The shards together
+    keep back less than half the floor of each share, so that in a round no entry of one and a half floors is missing,
+    and none is more than half a floor too low."""
     ensure_checkpoint_dir(units.sparkSession)
-    table = None
+    table, small = None, floor / 2
     for _ in range(rounds):
-        expected = per_shard(units, table, words, shard_step(table is None), "pair string, s string, t string, c double")
+        expected = per_shard(units, table, words, shard_step(table is None, small), "pair string, s string, t string, c double")
         counts = expected.groupBy("pair", "s", "t").agg(F.sum("c").alias("c")).checkpoint()
-        by_s = counts.groupBy("pair", "s").agg(F.sum("c").alias("of_s"))
-        by_t = counts.groupBy("pair", "t").agg(F.sum("c").alias("of_t"))
-        shares = counts.join(by_s, ["pair", "s"]).join(by_t, ["pair", "t"]).select("pair", "s", "t", (F.col("c") / (F.col("of_s") + 0.5)).alias("p"), (F.col("c") / (F.col("of_t") + 0.5)).alias("b"))
+        by_s = counts.where("t is null").select("pair", "s", F.col("c").alias("of_s"))
+        by_t = counts.where("s is null").select("pair", "t", F.col("c").alias("of_t"))
+        shares = counts.where("s is not null and t is not null").join(by_s, ["pair", "s"]).join(by_t, ["pair", "t"]).select("pair", "s", "t", (F.col("c") / (F.col("of_s") + 0.5)).alias("p"), (F.col("c") / (F.col("of_t") + 0.5)).alias("b"))
         table = shares.where((F.col("p") >= floor) | (F.col("b") >= floor)).checkpoint()
     return table
 
@@ -296,7 +311,7 @@ def bitext(units: DataFrame, translations: DataFrame, shard_units: int = 1000) -
     return cut_units.join(sizes, "pair").withColumn("shard", F.pmod(F.xxhash64("file_id", "unit_id"), F.col("shards")).cast("int")).drop("shards")
 
 
-def aligned_sentences(units: DataFrame, translations: DataFrame, rounds: int = 3) -> DataFrame:
+def aligned_sentences(units: DataFrame, translations: DataFrame, rounds: int = 4) -> DataFrame:
     """Linked sentences: file_id, unit_id, source_no, sent_no, spans of the source sentence, score."""
     ensure_checkpoint_dir(units.sparkSession)
     pairs = bitext(units, translations).checkpoint()
@@ -316,7 +331,7 @@ def aligned_sentences(units: DataFrame, translations: DataFrame, rounds: int = 3
     return per_shard(pairs, table, words, align, "file_id bigint, unit_id int, source_no int, sent_no int, spans array<int>, score double")
 
 
-def aligned_spans(units: DataFrame, translations: DataFrame, rounds: int = 3) -> DataFrame:
+def aligned_spans(units: DataFrame, translations: DataFrame, rounds: int = 4) -> DataFrame:
     """(file_id, unit_id, span_id, sent_no) of each span and each target sentence that renders a source sentence of which the span holds a piece."""
     found = aligned_sentences(units, translations, rounds)
     return found.select("file_id", "unit_id", F.explode("spans").alias("span_id"), "sent_no").distinct()

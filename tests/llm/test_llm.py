@@ -295,6 +295,25 @@ def test_words_thinly_spread_over_shards_count(spark):
     assert table["thin", "mince"] > 0.5
 
 
+def test_counts_of_all_shards_are_added(spark):
+    r, floor = random.Random(22), 0.01
+    rows = []
+    for u in range(1600):
+        own = [*r.sample(range(70), 45), 100 + u // 8]  # the last is in each shard once
+        rows.append(("en-fr", u % 8, [[f"s{x}" for x in own]], [[f"t{x}" for x in own if x >= 100 or r.random() < 0.8]]))
+    want, of_s, of_t = {}, {}, {}
+    for _, _, (source,), (target,) in rows:
+        for t in target:
+            for s in source:
+                c = 1 / (len(source) + 0.02)
+                want[s, t], of_s[s], of_t[t] = want.get((s, t), 0) + c, of_s.get(s, 0) + c, of_t.get(t, 0) + c
+    df = spark.createDataFrame(rows, "pair string, shard int, source array<array<string>>, target array<array<string>>")
+    table = {(x.s, x.t): (x.p, x.b) for x in alignment.train(df, alignment.words_of(df), rounds=1, floor=floor).collect()}
+    share = {(s, t): (c / (of_s[s] + 0.5), c / (of_t[t] + 0.5)) for (s, t), c in want.items()}
+    assert {k for k, v in share.items() if max(v) >= 1.5 * floor + 1e-6} <= set(table)
+    assert all(share[k][i] - floor / 2 - 1e-5 <= v[i] <= share[k][i] + 1e-5 for k, v in table.items() for i in (0, 1))
+
+
 # ---- packing ----
 def test_placement_minimises_the_sum_of_squares():
     r = random.Random(9)
