@@ -155,6 +155,16 @@ def test_damaged_rows(spark, corpus):
     assert encoding.damaged(spark.createDataFrame([], "k long, t string"), "k", "t", model).count() == 0
 
 
+def test_question_marks_for_letters_are_damage(spark, corpus):
+    model = encoding.fit_texts([t for _, _, t in corpus], [])
+    lost = ["????????50????????????", "???1956??????\n?????????????", "??? ?????? ?? ????.", "The temp?te of Visa.", "Сад закрыт.\n\n??????????", "Visa: ?????? ???? ???????"]
+    clean = ["What??", "Why????", "Quoi ???? Non.", "???", "? ? ?", "What?? Who??", "See http://x.org/a?id=2&b=c", "Visa?\nNo.", "?!?!", "In 1920???"]
+    rows = [(k, t) for k, t in enumerate(lost)] + [(100 + k, t) for k, t in enumerate(clean)]
+    out = encoding.damaged(spark.createDataFrame(rows, "k long, t string"), "k", "t", model).collect()
+    assert sorted(x.k for x in out) == list(range(len(lost)))
+    assert all(x.restored == lost[x.k] and {s.encodings for s in x.spans} == {"lost"} for x in out)
+
+
 # ---- turns ----
 def test_segments_and_labels():
     cast = turns.Cast([(1, "Savovo Kolula"), (2, "Bedalo Luvolu"), (3, "Lokasa Luvote")])
