@@ -7,7 +7,7 @@ confidence: a subject has one film, a film at most ``slots`` subjects.
 
 The order is cut into blocks of positions and each block carries the last rows of the block before it, so that no task
 holds more than a block however often a key occurs; keys end in the other fields, so that equal titles are sorted by
-what tells them apart.
+what tells them apart. A title of more records than a window holds is sorted by each of the other fields in turn.
 
 Defined results: rows without any title give no match; repeated rows count once (the latest holds); a null field is
 neither for nor against; ties in confidence go to the smaller ids; extra columns are ignored; an empty table on either
@@ -210,6 +210,30 @@ def sort_keys(r: Record) -> list[tuple[int, str]]:
     return out
 
 
+def run_keys(r: Record, side: int) -> list[tuple[int, str, str]]:
+    """(kind, title, key) for titles that more records share than a window holds: under the title they are sorted by each other field.
+
+    The left records stand at the years before and after theirs, too."""
+    runtime = "" if r.runtime is None else f"{r.runtime:03d}"
+    year = "" if r.year is None else str(r.year)
+    name = " ".join(sorted(r.director[0]))
+    longest = max(r.director[0], key=len) if r.director[0] else ""
+    out = []
+    for kind, title in ((20, " ".join(w for w in r.latin.split() if w not in STOP)), (30, r.zh)):
+        if not title:
+            continue
+        if longest:
+            out.append((kind + 1, title, f"{title}|{longest}|{name}|{year}|{runtime}"))
+        if r.director[1]:
+            out.append((kind + 2, title, f"{title}|{r.director[1]}|{year}|{runtime}"))
+        if runtime:
+            out.append((kind + 3, title, f"{title}|{runtime}|{year}|{name}"))
+        if year:
+            for y in (r.year,) if side else (r.year - 1, r.year, r.year + 1):
+                out.append((kind + 4, title, f"{title}|{y}|{runtime}|{name}"))
+    return out
+
+
 FIELDS = "id string, side int, title_en string, title_zh string, year int, director string, runtime int"
 
 
@@ -237,16 +261,26 @@ def candidates(left: DataFrame, right: DataFrame, window: int = 14, block: int =
 
     def keyed(frames):
         for frame in frames:
-            out = [(*row[1:], kind, key) for row in frame.itertuples() for kind, key in sort_keys(Record(row))]
-            yield pd.DataFrame(out, columns=[*frame.columns, "kind", "key"]).astype({"year": "Int32", "runtime": "Int32"})
-
-    rows = both.select("id", "side", "title_en", "title_zh", "year", "director", "runtime").mapInPandas(keyed, f"{FIELDS}, kind int, key string")
+            out = []
+            for row in frame.itertuples():
+                own = Record(row)
+                out += [(*row[1:], kind, None, key) for kind, key in sort_keys(own)]
+                out += [(*row[1:], *x) for x in run_keys(own, row.side)]
+            yield pd.DataFrame(out, columns=[*frame.columns, "kind", "title", "key"]).astype({"year": "Int32", "runtime": "Int32"})
+
+    rows = both.select("id", "side", "title_en", "title_zh", "year", "director", "runtime").mapInPandas(keyed, f"{FIELDS}, kind int, title string, key string").checkpoint()
+    # titles of more records than a window holds
+    keyed_by_title = rows.where(F.col("title").isNotNull()).withColumn("of", F.floor(F.col("kind") / 10))
+    runs = keyed_by_title.groupBy("of", "title").agg(F.count("*").alias("n")).where(F.col("n") > window).select("of", "title")
+    rows = rows.where(F.col("title").isNull()).drop("title").unionByName(keyed_by_title.join(runs, ["of", "title"], "left_semi").drop("of", "title"))
+    # the two sides are mixed where keys are equal
+    rows = rows.withColumn("_mix", F.xxhash64("id"))
     # the order is written once: a second reading of a range partitioning could cut it elsewhere
-    ordered = rows.repartitionByRange("kind", "key", "side", "id").sortWithinPartitions("kind", "key", "side", "id")
+    ordered = rows.repartitionByRange("kind", "key", "_mix", "side", "id").sortWithinPartitions("kind", "key", "_mix", "side", "id")
     ordered = ordered.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id() % F.lit(1 << 33)).checkpoint()
     sizes = ordered.groupBy("_part").agg(F.count("*").alias("n"))
     offsets = sizes.withColumn("_before", F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")
-    placed = ordered.join(F.broadcast(offsets), "_part").withColumn("place", F.col("_before") + F.col("_at")).drop("_part", "_at", "_before", "key")
+    placed = ordered.join(F.broadcast(offsets), "_part").withColumn("place", F.col("_before") + F.col("_at")).drop("_part", "_at", "_before", "_mix", "key")
     # a row also goes to the next block if that one's first rows still see it
     blocks = F.array_distinct(F.array(F.floor(F.col("place") / block), F.floor((F.col("place") + window) / block)))
     spread = placed.withColumn("block", F.explode(blocks))

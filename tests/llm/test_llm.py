@@ -259,6 +259,24 @@ def test_blocks_lose_no_pair(spark):
     assert small == {(x.left_id, x.right_id) for x in matching.candidates(df, df, window=6, block=100_000).collect()} and len(small) >= 300
 
 
+def test_a_title_of_many_films_loses_no_pair(spark):
+    r = random.Random(23)
+    name = lambda: "".join(r.choice("bdklmnrst") + r.choice("aeiou") for _ in range(4))
+    left, right = [], []
+    for i in range(1200):
+        year, director, runtime = r.randint(1950, 2020), f"{name().title()} {name().title()}", r.randint(70, 170)
+        left.append((str(i), "The Hot Harbor", None, year, director, runtime))
+        kind = i % 3
+        right.append((str(i), "The Hot Harbor", None, None if kind == 0 else year + r.choice((-1, 1)), None if kind == 2 else director, None if kind == 1 else runtime + (kind == 2) * r.choice((-2, -1, 1, 2))))
+    schema = "id string, title_en string, title_zh string, year int, director string, runtime int"
+    a, b = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+    records = [[matching.Record(x) for x in df.toPandas().itertuples()] for df in (a, b)]
+    want = {x.key for x, y in zip(*records) if matching.confidence(x, y) >= 0.5}  # brute force over the planted pairs
+    got = {x.left_id for x in matching.candidates(a, b).where("left_id = right_id").collect()}
+    print("recall", len(want & got) / len(want))
+    assert len(want) > 1100 and len(want & got) >= 0.97 * len(want)
+
+
 # ---- alignment ----
 def test_sentences():
     text = "One. Two! Three? 四。Five"
