@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -316,9 +317,10 @@ def leaks(documents: DataFrame, evaluation: DataFrame, key: str = "doc_id", text
     """One row per document and item that leaked: share of the item's words, and the spans (code points) to remove."""
     size = evaluation.agg(F.sum(F.length(item_text))).first()[0] or 0
     if size > most_item_chars:
-        halves = [evaluation.where(F.pmod(F.xxhash64(item_key), F.lit(2)) == k) for k in (0, 1)]
-        parts = [leaks(documents, half, key, text, item_key, item_text, share, least, run_words, run_chars, shard_chars, most_item_chars) for half in halves]
-        return parts[0].unionByName(parts[1])
+        # as many passes as the size needs; an item goes whole into one, however long it is
+        passes = -(-size // most_item_chars)
+        parts = [evaluation.where(F.pmod(F.xxhash64(item_key), F.lit(passes)) == k) for k in range(passes)]
+        return reduce(DataFrame.unionByName, [leaks(documents, part, key, text, item_key, item_text, share, least, run_words, run_chars, shard_chars, size) for part in parts])
     rows = evaluation.where(F.length(item_text) > 0).select(item_key, item_text).orderBy(item_key).collect()
     items = documents.sparkSession.sparkContext.broadcast(Items.build([(r[0], r[1]) for r in rows]))
 

@@ -131,6 +131,18 @@ def test_leaks(spark):
     assert leakage.leaks(df.limit(0), ev).count() == 0 and leakage.leaks(df, ev.limit(0)).count() == 0
 
 
+def test_items_go_in_as_many_passes_as_their_size_needs(spark):
+    r = random.Random(24)
+    words = ["".join(r.choice("bdklmnrstv") + r.choice("aeiou") for _ in range(3)) for _ in range(900)]
+    items = [(i, "en", " ".join(r.choice(words) for _ in range(50))) for i in range(5)]
+    docs = [(i, " ".join(r.choice(words) for _ in range(60)) + " " + text) for i, _, text in items]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    ev = spark.createDataFrame(items, "item_id long, lang string, text string")
+    for most in (1000, 100):  # three passes and more, then a limit that each single item exceeds
+        got = sorted((x.doc_id, x.item_id) for x in leakage.leaks(df, ev, most_item_chars=most).collect())
+        assert got == [(i, i) for i in range(5)]
+
+
 # ---- encoding ----
 def test_repair_round_trips(corpus):
     clean = [t for _, _, t in corpus]
