@@ -154,8 +154,8 @@ def fit_counts(texts: dict[int, list[str]], bits: int, common: float = 0.002) ->
         joined = code_points("\n".join(own))
         for order, h in zip((1, 2, 3, 4), hashes(joined, bits)):
             counts[order][:, kind] = np.bincount(h, minlength=1 << bits)
-            if kind == PROSE and len(own) > 1 / common:
-                owner = np.repeat(np.arange(len(own)), [len(x) + 1 for x in own])[: len(h)]
+            if kind == PROSE:
+                owner = np.repeat(np.arange(len(own)), np.array([len(x) + 1 for x in own], int))[: len(h)]
                 held = np.bincount(np.unique(owner * (1 << bits) + h) & ((1 << bits) - 1), minlength=1 << bits)
                 counts[order][held < common * len(own), kind] = 0
                 for own_seed in PROSE_SEEDS:
@@ -177,9 +177,8 @@ def find_spans(texts: list[str], model: ResidueModel, window: int = 24, high: fl
         spans = []
         for kind in (FILLER, ERROR):
             sums = total[base : base + len(text) + 1, kind - 1]
-            # where no window of the text is high, its sentences need no look
-            width = min(window, len(text))
-            if width < 4 or not len(text) or np.max(sums[width:] - sums[:-width], initial=-1) < high * width * 0.5 and len(text) > window:
+            # where no stretch of the text reaches the least sum of any piece, which has four characters, none needs a look
+            if len(text) < 4 or np.max(sums - np.minimum.accumulate(sums)) < min(least, high * 4):
                 continue
             for m in PIECE.finditer(text):
                 begin, end = m.start(), m.end()

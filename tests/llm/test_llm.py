@@ -45,6 +45,26 @@ def test_residue(spark, corpus):
     assert residue.residue_documents(df.limit(0)).count() == 0
 
 
+def test_short_notices_between_prose_are_looked_at():
+    notice = "请启用脚本。"
+    text = "她在审判之前把信件藏进了花园里面。" * 3 + notice + "她在审判之前把信件藏进了花园里面。" * 3
+
+    class Model:
+        def ratios(self, codes):
+            out = np.full((len(codes), 3), -2.0)
+            at = 3 + text.index(notice)
+            out[at : at + len(notice)] = 1.2
+            return out, out > 0
+
+    assert {text[b:e] for b, e, _ in residue.find_spans([text], Model())[0]} == {notice}
+
+
+def test_small_samples_have_the_prose_seeds():
+    model = residue.fit_counts({residue.PROSE: ["We go home."] * 20, **residue.seeds()}, 17)
+    seed = residue.hashes(residue.code_points(residue.PROSE_SEEDS[0]), 17)[3]
+    assert (model.counts[4][seed, residue.PROSE] > 0).all()
+
+
 # ---- language ----
 def test_gradient_agrees_with_differences():
     net = language.Network.fresh(5, 3, 0)
