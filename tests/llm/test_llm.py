@@ -340,6 +340,25 @@ def test_alignment_finds_planted_links(spark):
     assert alignment.aligned_spans(df.limit(0), tr.limit(0), rounds=1).count() == 0
 
 
+def shards_of(spark, rows):
+    """Shards from rows (pair, shard, source sentences, target sentences) of tokens, and the names of the words."""
+    groups = {}
+    for pair, shard, source, target in rows:
+        groups.setdefault((pair, shard), []).append((source, [[] for _ in source], target))
+    packed = [alignment.packed(*key, list(range(len(own))), list(range(len(own))), own) for key, own in groups.items()]
+    names = {alignment.word_id(x): x for row in rows for side in row[2:] for own in side for x in own}
+    return alignment.with_once(spark.createDataFrame(packed, alignment.SHARD)), names
+
+
+def entries_by_name(table, names):
+    out = {}
+    for x in table.collect():
+        for o, p, b in zip(x.others, x.ps, x.bs):
+            s, t = (x.word, o) if x.side == 0 else (o, x.word)
+            out[names[s], names[t]] = p, b
+    return out
+
+
 def test_words_thinly_spread_over_shards_count(spark):
     r = random.Random(21)
     rows = []
@@ -349,10 +368,13 @@ def test_words_thinly_spread_over_shards_count(spark):
             source, target = [f"s{x}" for x in own], [f"t{x}" for x in own]
             if u == 50 * shard:
                 source, target = [*source, "thin"], [*target, "mince"]
+            if u == shard == 3:
+                source, target = [*source, "once"], [*target, "une fois"]
             rows.append(("en-fr", shard, [source], [target]))
-    df = spark.createDataFrame(rows, "pair string, shard int, source array<array<string>>, target array<array<string>>")
-    table = {(x.s, x.t): x.p for x in alignment.train(df, alignment.words_of(df)).collect()}
-    assert table["thin", "mince"] > 0.5
+    shards, names = shards_of(spark, rows)
+    table = entries_by_name(alignment.train(shards), names)
+    assert table["thin", "mince"][0] > 0.5
+    assert not [k for k in table if "once" in k or "une fois" in k]
 
 
 def test_counts_of_all_shards_are_added(spark):
@@ -367,13 +389,28 @@ def test_counts_of_all_shards_are_added(spark):
             for s in source:
                 c = 1 / (len(source) + 0.02)
                 want[s, t], of_s[s], of_t[t] = want.get((s, t), 0) + c, of_s.get(s, 0) + c, of_t.get(t, 0) + c
-    df = spark.createDataFrame(rows, "pair string, shard int, source array<array<string>>, target array<array<string>>")
-    table = {(x.s, x.t): (x.p, x.b) for x in alignment.train(df, alignment.words_of(df), rounds=1, floor=floor).collect()}
+    shards, names = shards_of(spark, rows)
+    table = entries_by_name(alignment.train(shards, rounds=1, floor=floor), names)
     share = {(s, t): (c / (of_s[s] + 0.5), c / (of_t[t] + 0.5)) for (s, t), c in want.items()}
     assert {k for k, v in share.items() if max(v) >= 1.5 * floor + 1e-6} <= set(table)
     assert all(share[k][i] - floor / 2 - 1e-5 <= v[i] <= share[k][i] + 1e-5 for k, v in table.items() for i in (0, 1))
 
 
+def test_the_table_is_the_same_however_units_are_dealt(spark):
+    r = random.Random(23)
+    units = []
+    for _ in range(600):
+        own = r.sample(range(90), 6)
+        units.append(([[f"s{x}" for x in own]], [[f"t{x}" for x in own if r.random() < 0.9] or ["t"]]))
+    tables = []
+    for n in (1, 6, 40):
+        shards, names = shards_of(spark, [("en-fr", k % n, *u) for k, u in enumerate(units)])
+        tables.append(entries_by_name(alignment.train(shards, rounds=3), names))
+    for other in tables[1:]:
+        big = {k for k, v in tables[0].items() if max(v) > 0.05}
+        assert len(big) >= 90 and all(abs(tables[0][k][0] - other.get(k, (0, 0))[0]) < 0.05 for k in big)
+
+
 # ---- packing ----
 def test_placement_minimises_the_sum_of_squares():
     r = random.Random(9)
