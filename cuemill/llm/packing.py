@@ -96,7 +96,7 @@ def pieces(size: int, capacity: int) -> list[int]:
     return [size] if size <= capacity else [capacity] * full + ([rest] if rest else [])
 
 
-def pack(documents: DataFrame, profiles: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, shard_rows: int = 20_000, most_profiles: int = 1000) -> DataFrame:
+def pack(documents: DataFrame, profiles: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, shard_rows: int = 10_000, most_profiles: int = 1000) -> DataFrame:
     """Rows (profile_id, shard, container, key, piece_no, begin_token, n_tokens): where each document or piece goes. A container is known by profile, shard and number."""
     capacities = [(r[0], r[1]) for r in profiles.where(F.col("capacity_tokens") > 0).select("profile_id", "capacity_tokens").distinct().orderBy("profile_id", "capacity_tokens").limit(most_profiles + 1).collect()]
     if len(capacities) > most_profiles:
@@ -118,7 +118,8 @@ def pack(documents: DataFrame, profiles: DataFrame, key: str = "doc_id", text: s
                     begin += own
         return pd.DataFrame(out, columns=["profile_id", "shard", "container", key, "piece_no", "begin_token", "n_tokens"])
 
-    return sizes.groupBy("shard").applyInPandas(place, f"profile_id int, shard int, container int, {key} {kind}, piece_no int, begin_token bigint, n_tokens bigint")
+    # a task per shard: a shard's sizes are few bytes, its placing takes long
+    return sizes.repartition(shards, "shard").groupBy("shard").applyInPandas(place, f"profile_id int, shard int, container int, {key} {kind}, piece_no int, begin_token bigint, n_tokens bigint")
 
 
 def fill(packed: DataFrame, profiles: DataFrame) -> DataFrame:
