@@ -47,13 +47,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Splits a scan of a few large files over the cores when per-row work is heavy; a scan with enough tasks stays as it is."""
-    context = df.sparkSession.sparkContext
-    cores = context.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
+    """Splits a scan of a few large files over the cores when per-row work is heavy; a scan of enough splits stays as it is.
+
+    The size comes from the plan's statistics: nothing runs while the plan is built."""
+    session = df.sparkSession
+    cores = session.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    split = session._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    if size >= 4 * cores * split:
         return df
-    partitions = max(2 * cores, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(partitions, *keys)
+    return df.repartition(max(2 * cores, int(session.conf.get("spark.sql.shuffle.partitions"))), *keys)
 
 
 def sample_rows(df: DataFrame, key: str, rows: int) -> DataFrame:
