@@ -5,6 +5,7 @@ key), and a window slides over the order; records in a window are compared by we
 title, year, director and running time. The confident pairs then go through an assignment that maximises the total
 confidence: a subject has one film, a film at most ``slots`` subjects.
 
+Records of equal fields are one class and are dealt to each other's copies at the end, so that copies need no window.
 The order is cut into blocks of positions and each block carries the last rows of the block before it, so that no task
 holds more than a block however often a key occurs; keys end in the other fields, so that equal titles are sorted by
 what tells them apart. A title of more records than a window holds is sorted by each of the other fields in turn.
@@ -16,10 +17,12 @@ side gives an empty result.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 import unicodedata
 from collections import deque
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -85,6 +88,7 @@ def person(name: str | None) -> tuple[tuple[str, ...], str]:
     return tuple(plain(re.sub(r"[㐀-鿿·・]+", " ", name)).split()), cjk
 
 
+@lru_cache(200_000)
 def edits(a: str, b: str) -> float:
     """Similarity from the edit distance with swaps."""
     if a == b:
@@ -103,6 +107,7 @@ def edits(a: str, b: str) -> float:
     return 1 - one[-1] / max(len(a), len(b))
 
 
+@lru_cache(200_000)
 def title_similarity(a: str, b: str) -> float:
     """Words are paired in order of their similarity; common words weigh less."""
     if a == b:
@@ -254,7 +259,7 @@ def window_pairs(frame: pd.DataFrame, window: int, least: float) -> list[tuple[s
     return [(a, b, c) for (a, b), c in out.items() if c >= least]
 
 
-def candidates(left: DataFrame, right: DataFrame, window: int = 14, block: int = 4000, least: float = 0.5) -> DataFrame:
+def candidates(left: DataFrame, right: DataFrame, window: int = 14, block: int = 2000, least: float = 0.5) -> DataFrame:
     """Pairs (left_id, right_id, confidence) found by the sorted neighbourhood. Both tables have the columns of FIELDS without side."""
     ensure_checkpoint_dir(left.sparkSession)
     both = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1)))
@@ -288,49 +293,87 @@ def candidates(left: DataFrame, right: DataFrame, window: int = 14, block: int =
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(window_pairs(frame.sort_values("place"), window, least), columns=["left_id", "right_id", "confidence"])
 
-    found = spread.groupBy("block").applyInPandas(compare, "left_id string, right_id string, confidence double")
+    # comparing takes far longer than its rows' size tells: a task for each few blocks
+    tasks = max(1, -(-rows.count() // (4 * block)))
+    found = spread.repartition(tasks, "block").groupBy("block").applyInPandas(compare, "left_id string, right_id string, confidence double")
     return found.groupBy("left_id", "right_id").agg(F.max("confidence").alias("confidence"))
 
 
-def auction(pairs: list[tuple[str, str, float]], slots: int) -> list[tuple[str, str, float]]:
-    """One-to-one assignment of right ids to slots of left ids that maximises the total confidence, by augmenting along best paths.
+def optimal(pairs: list[tuple[str, str, float, int, int]]) -> list[tuple[str, str, float, int]]:
+    """(left, right, gain, amount) of the assignment with the highest total gain, from pairs (left, right, gain, room, number).
 
-    Each right id may stay alone (gain 0). Gains are integers, so that the result doesn't depend on the order of additions."""
+    A left has room for so many rights, a right stands for a number of equal records, each of which may stay alone (gain
+    0). Rights enter one after the other, each along the shortest augmenting path over prices of the lefts and profits
+    of the rights (gain = profit + price on used pairs, no more elsewhere). Gains are integers, so that the result
+    doesn't depend on the order of additions."""
     lefts, rights = sorted({p[0] for p in pairs}), sorted({p[1] for p in pairs})
     li, ri = {k: i for i, k in enumerate(lefts)}, {k: i for i, k in enumerate(rights)}
     edges: list[dict[int, int]] = [{} for _ in rights]
-    for a, b, c in pairs:
+    room, number, shown = [0] * len(lefts), [0] * len(rights), {}
+    for a, b, c, n, m in sorted(pairs):
         edges[ri[b]][li[a]] = round(c * 1_000_000)
-    # auction with falling epsilon: rights bid for lefts, a left keeps its ``slots`` highest bids
-    n = len(rights)
-    price = [[0.0] * slots for _ in lefts]
-    owner: list[list[int]] = [[-1] * slots for _ in lefts]
-    epsilon = 0.5 / (n + 1)
-    held = [-1] * n
-    waiting = list(range(n))[::-1]
-    while waiting:
-        j = waiting.pop()
-        best, second, at = 0.0, 0.0, -1
-        for i, gain in edges[j].items():
-            value = gain - min(price[i])
-            if value > best or value == best and at == -1 and value > 0:
-                best, second, at = value, best, i
-            elif value > second:
-                second = value
-        if at < 0:
-            continue
-        k = min(range(slots), key=lambda s: price[at][s])
-        # a second slot of the same left is the next best offer
-        rest = sorted(price[at])[1] if slots > 1 else None
-        if rest is not None:
-            second = max(second, edges[j][at] - rest)
-        price[at][k] += best - max(0.0, second) + max(epsilon, 1.0)
-        if owner[at][k] >= 0:
-            held[owner[at][k]] = -1
-            waiting.append(owner[at][k])
-        owner[at][k] = j
-        held[j] = at
-    return [(lefts[i], rights[j], edges[j][i] / 1_000_000) for j, i in enumerate(held) if i >= 0]
+        room[li[a]], number[ri[b]], shown[li[a], ri[b]] = n, m, c
+    price, profit = [0] * len(lefts), [0] * len(rights)
+    used: list[dict[int, int]] = [{} for _ in lefts]  # of each left the amount of each right
+    for j in range(len(rights)):
+        profit[j] = max(0, max((g - price[i] for i, g in edges[j].items()), default=0))
+        waiting = number[j]
+        while waiting and profit[j] > 0:
+            # nodes: (distance, 0, right) or (distance, 1, left); an end is a left with room, or a right that rather stays alone
+            heap, far_r, far_l, from_l, from_r = [(0, 0, j)], {j: 0}, {}, {}, {}
+            best, end = profit[j], (0, j)
+            while heap:
+                d, kind, k = heapq.heappop(heap)
+                if d >= best:
+                    break
+                if kind == 0:
+                    if d > far_r[k]:
+                        continue
+                    if d + profit[k] < best:
+                        best, end = d + profit[k], (0, k)
+                    for i, g in edges[k].items():
+                        far = d + profit[k] + price[i] - g
+                        if far < best and far < far_l.get(i, far + 1):
+                            far_l[i], from_l[i] = far, k
+                            heapq.heappush(heap, (far, 1, i))
+                elif d == far_l[k]:
+                    if room[k] > 0:
+                        best, end = d, (1, k)
+                        break
+                    for r in used[k]:
+                        if d < far_r.get(r, d + 1):
+                            far_r[r], from_r[r] = d, k
+                            heapq.heappush(heap, (d, 0, r))
+            for r, d in far_r.items():
+                if d < best:
+                    profit[r] -= best - d
+            for i, d in far_l.items():
+                if d < best:
+                    price[i] += best - d
+            # along the path each left gives a place of a right to the one before
+            path, kind, k = [], *end
+            amount = waiting if kind == 0 else min(waiting, room[k])
+            while (kind, k) != (0, j):
+                if kind == 1:
+                    path.append((k, from_l[k], 1))
+                    kind, k = 0, from_l[k]
+                else:
+                    i = from_r[k]
+                    amount = min(amount, used[i][k])
+                    path.append((i, k, -1))
+                    kind, k = 1, i
+            if end == (0, j):
+                break
+            if end[0] == 1:
+                room[end[1]] -= amount
+            for i, r, sign in path:
+                now = used[i].get(r, 0) + sign * amount
+                if now:
+                    used[i][r] = now
+                else:
+                    del used[i][r]
+            waiting -= amount
+    return [(lefts[i], rights[r], shown[i, r], n) for i, own in enumerate(used) for r, n in sorted(own.items())]
 
 
 def components(pairs: DataFrame) -> DataFrame:
@@ -349,46 +392,103 @@ def components(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("a", F.concat(F.lit("l"), F.col("left_id"))).join(labels.withColumnRenamed("label", "component"), "a").drop("a")
 
 
-def dominant(pairs: DataFrame, slots: int) -> DataFrame:
-    """An assignment by rounds in which pairs that are the best of both their sides are taken; at least half of the highest total, and no group of pairs meets in one task."""
-    left_over, taken = pairs.select("left_id", "right_id", "confidence", F.explode(F.sequence(F.lit(1), F.lit(slots))).alias("slot")).checkpoint(), None
-    while left_over.limit(1).count():
-        order = F.struct("confidence", "left_id", "right_id", F.negative("slot"))
-        of_left = left_over.groupBy("left_id", "slot").agg(F.max(order).alias("_l"))
-        of_right = left_over.groupBy("right_id").agg(F.max(order).alias("_r"))
-        both = left_over.join(of_left, ["left_id", "slot"]).join(of_right, "right_id")
-        won = both.where((F.col("_l") == order) & (F.col("_r") == order)).select("left_id", "right_id", "confidence", "slot").checkpoint()
-        taken = won if taken is None else taken.unionByName(won)
-        left_over = left_over.join(won.select("left_id", "slot"), ["left_id", "slot"], "left_anti").join(won.select("right_id"), "right_id", "left_anti").checkpoint()
-    return (pairs.limit(0) if taken is None else taken).select("left_id", "right_id", "confidence")
+FLOWS = "left_id string, right_id string, confidence double, amount bigint"
 
 
-def assign(pairs: DataFrame, slots: int = 2, most_pairs: int = 200_000) -> DataFrame:
-    """The pairs of the assignment with the highest total confidence.
+def bidding(pairs: DataFrame, epsilon: float) -> DataFrame:
+    """An assignment (FLOWS) of pairs (left_id, right_id, confidence, room, number) by rounds of bids over the whole table.
 
-    Records that are linked are solved together; where copies link more than ``most_pairs`` pairs, the links are solved
-    by rounds over the whole table instead of in one task, which gives up to half of the total at worst."""
-    ensure_checkpoint_dir(pairs.sparkSession)
+    Each round all rights that wait bid for their best left as much as it is worth more to them than the second best,
+    and ``epsilon``; a left keeps the highest bids for which it has room, the lowest of them being its price once it is
+    full. The total is at most epsilon times the number of records below the highest. No group of pairs meets in one
+    task: a left has no more rights than the windows of its keys hold."""
     pairs = pairs.checkpoint()
+    held = pairs.select("left_id", "right_id", F.lit(0).cast("bigint").alias("amount"), F.lit(0.0).alias("bid")).limit(0)
+    room = pairs.groupBy("left_id").agg(F.max("room").alias("room"))
+    while True:
+        full = held.groupBy("left_id").agg(F.sum("amount").alias("sum"), F.min("bid").alias("low")).join(room, "left_id").where(F.col("sum") >= F.col("room")).select("left_id", "low")
+        placed = held.groupBy("right_id").agg(F.sum("amount").alias("placed"))
+        open_ = pairs.join(placed, "right_id", "left").withColumn("waits", F.col("number") - F.coalesce("placed", F.lit(0))).where(F.col("waits") > 0)
+        valued = open_.join(full, "left_id", "left").withColumn("price", F.coalesce("low", F.lit(0.0))).withColumn("value", F.col("confidence") - F.col("price")).where(F.col("value") > 0)
+        best = valued.groupBy("right_id").agg(
+            F.max_by(F.struct("left_id", "price", "waits"), F.struct("value", "left_id")).alias("b"), F.max("value").alias("top"), F.sort_array(F.collect_list("value"), asc=False).alias("values")
+        )
+        second = F.coalesce(F.try_element_at("values", F.lit(2)), F.lit(0.0))
+        bids = best.select(F.col("b.left_id").alias("left_id"), "right_id", F.col("b.waits").cast("bigint").alias("amount"), (F.col("b.price") + F.col("top") - second + F.lit(epsilon)).alias("bid")).checkpoint()
+        if not bids.limit(1).count():
+            break
+        order = Window.partitionBy("left_id").orderBy(F.desc("bid"), "right_id")
+        all_bids = held.unionByName(bids).join(room, "left_id").withColumn("before", F.sum("amount").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+        got = F.least(F.col("amount"), F.col("room") - F.coalesce("before", F.lit(0)))
+        held = all_bids.withColumn("amount", got).where(F.col("amount") > 0).select("left_id", "right_id", "amount", "bid").checkpoint()
+    flows = held.groupBy("left_id", "right_id").agg(F.sum("amount").alias("amount"))
+    return flows.join(pairs, ["left_id", "right_id"]).select("left_id", "right_id", "confidence", "amount")
+
+
+def assign(pairs: DataFrame, slots: int = 2, most_pairs: int = 200_000, epsilon: float = 0.01) -> DataFrame:
+    """FLOWS of the assignment with the highest total confidence, of pairs (left_id, right_id, confidence, copies_l, copies_r).
+
+    Ids stand for so many equal records. Records that are linked are solved together and exactly; where more than
+    ``most_pairs`` pairs are linked, they are solved by bids over the table, which come within ``epsilon`` a record of
+    the highest total, so that no task holds an unbounded group."""
+    ensure_checkpoint_dir(pairs.sparkSession)
+    pairs = pairs.select("left_id", "right_id", "confidence", (F.col("copies_l") * slots).alias("room"), F.col("copies_r").alias("number")).checkpoint()
 
     def solve(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = sorted(frame[["left_id", "right_id", "confidence"]].itertuples(index=False, name=None))
-        return pd.DataFrame(auction(rows, slots), columns=["left_id", "right_id", "confidence"])
+        rows = list(frame[["left_id", "right_id", "confidence", "room", "number"]].itertuples(index=False, name=None))
+        return pd.DataFrame(optimal(rows), columns=["left_id", "right_id", "confidence", "amount"])
 
     # pairs whose records have no other pair need no assignment
     by_left, by_right = Window.partitionBy("left_id"), Window.partitionBy("right_id")
     counted = pairs.withColumn("_l", F.count("*").over(by_left)).withColumn("_r", F.count("*").over(by_right))
-    alone = counted.where((F.col("_l") == 1) & (F.col("_r") == 1)).drop("_l", "_r")
+    alone = counted.where((F.col("_l") == 1) & (F.col("_r") == 1)).select("left_id", "right_id", "confidence", F.least("room", "number").cast("bigint").alias("amount"))
     contested = counted.where((F.col("_l") > 1) | (F.col("_r") > 1)).drop("_l", "_r")
     linked = components(contested).checkpoint()
     large = linked.groupBy("component").count().where(F.col("count") > most_pairs).select("component").checkpoint()
-    solved = linked.join(large, "component", "left_anti").groupBy("component").applyInPandas(solve, "left_id string, right_id string, confidence double")
+    solved = linked.join(large, "component", "left_anti").groupBy("component").applyInPandas(solve, FLOWS)
     whole = alone.unionByName(solved)
     if large.limit(1).count():
-        whole = whole.unionByName(dominant(linked.join(large, "component", "left_semi"), slots))
+        whole = whole.unionByName(bidding(linked.join(large, "component", "left_semi").drop("component"), epsilon))
     return whole
 
 
+def ranked(members: DataFrame) -> DataFrame:
+    """Adds ``rank`` (from 0) of each id within its class. The order is cut by ranges, so that a class of any size is spread over tasks."""
+    ordered = members.repartitionByRange("class", "id").sortWithinPartitions("class", "id")
+    ordered = ordered.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id() % F.lit(1 << 33)).checkpoint()
+    before = ordered.groupBy("_part").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")
+    placed = ordered.join(F.broadcast(before), "_part").withColumn("_place", F.col("_before") + F.col("_at"))
+    first = placed.groupBy("class").agg(F.min("_place").alias("_first"))
+    return placed.join(first, "class").select("class", "id", (F.col("_place") - F.col("_first")).alias("rank"))
+
+
+def classes(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records of different fields with their number of copies, (class, id, rank) of all records): equal records are one class, named by its smallest id."""
+    fields = [c for c in records.columns if c != "id"]
+    own = records.groupBy(*fields).agg(F.min("id").alias("class"), F.count("*").alias("copies")).checkpoint()
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in fields]
+    copied = own.where("copies > 1")
+    members = records.alias("r").join(copied.alias("c"), same).select("c.class", "r.id")
+    single = own.where("copies = 1").select("class", F.col("class").alias("id"), F.lit(0).cast("bigint").alias("rank"))
+    return own.select(F.col("class").alias("id"), *fields, "copies"), single.unionByName(ranked(members))
+
+
+def matches(left: DataFrame, right: DataFrame, slots: int = 2, **options) -> DataFrame:
+    """Pairs (left_id, right_id, confidence) of the same thing: candidates and assignment of the different records, dealt out to their copies.
+
+    Of equal records any dealing has the same total: the k-th place of a left class and the k-th record of the right
+    class go together, and each left record gets a first right one before any gets a second."""
+    (lc, lm), (rc, rm) = classes(left), classes(right)
+    pairs = candidates(lc.drop("copies"), rc.drop("copies"), **options)
+    pairs = pairs.join(lc.select(F.col("id").alias("left_id"), F.col("copies").alias("copies_l")), "left_id").join(rc.select(F.col("id").alias("right_id"), F.col("copies").alias("copies_r")), "right_id")
+    flows = assign(pairs, slots).join(lc.select(F.col("id").alias("left_id"), F.col("copies").alias("copies_l")), "left_id").checkpoint()
+    upto = lambda key, other: F.sum("amount").over(Window.partitionBy(key).orderBy(other)) - F.col("amount")
+    flows = flows.withColumn("of_l", upto("left_id", "right_id")).withColumn("of_r", upto("right_id", "left_id"))
+    dealt = rm.withColumnRenamed("id", "own").join(flows.withColumnRenamed("right_id", "class"), "class").where((F.col("rank") >= F.col("of_r")) & (F.col("rank") < F.col("of_r") + F.col("amount")))
+    dealt = dealt.select("own", "confidence", F.col("left_id").alias("class"), F.pmod(F.col("of_l") + F.col("rank") - F.col("of_r"), F.col("copies_l")).alias("rank"))
+    return dealt.join(lm, ["class", "rank"]).select(F.col("id").alias("left_id"), F.col("own").alias("right_id"), "confidence")
+
+
 def film_sides(titles: DataFrame, subjects: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The two tables as records, the latest row of each id."""
     t = titles.where(F.col("tmdb_id").isNotNull()).groupBy("tmdb_id").agg(F.max_by(F.struct("title_en", "title_zh", "year", "director_name", "runtime_min"), F.struct("updated_at", "title_en")).alias("r"))

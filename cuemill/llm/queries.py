@@ -29,7 +29,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 def _matches(spark: SparkSession, d: str) -> DataFrame:
     left, right = matching.film_sides(table(spark, d, "titles"), table(spark, d, "douban_subjects"))
-    return matching.assign(matching.candidates(left, right))
+    return matching.matches(left, right)
 
 
 def p2_matches(spark: SparkSession, d: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import numpy as np
 import pandas as pd
@@ -249,7 +250,7 @@ def test_assignment_is_optimal():
             continue
         gain = {(a, b): c for a, b, c in pairs}
         for slots in (1, 2):
-            got = matching.auction(pairs, slots)
+            got = [(a, b, c) for a, b, c, n in matching.optimal([(a, b, c, slots, 1) for a, b, c in pairs]) if n == 1]
             assert len({b for _, b, _ in got}) == len(got) and all(sum(x[0] == a for x in got) <= slots for a in lefts)
             best = max(
                 sum(gain[a, b] for b, a in zip(rights, chosen) if a)
@@ -259,16 +260,64 @@ def test_assignment_is_optimal():
             assert sum(c for *_, c in got) >= best - 1e-4
 
 
-def test_large_components_are_solved_by_rounds(spark):
+def brute(pairs, slots, copies):
+    """Total of the best assignment with every record of its own."""
+    rights = [(b, k) for b in sorted({b for _, b, _ in pairs}) for k in range(copies[b])]
+    places = [(a, k) for a in sorted({a for a, *_ in pairs}) for k in range(slots * copies[a])]
+    gain = {(a, b): c for a, b, c in pairs}
+    best = {0: 0.0}
+    for b, _ in rights:
+        now = dict(best)
+        for used, total in best.items():
+            for i, (a, _) in enumerate(places):
+                if not used >> i & 1 and (a, b) in gain:
+                    key = used | 1 << i
+                    now[key] = max(now.get(key, 0.0), total + gain[a, b])
+        best = now
+    return max(best.values())
+
+
+def test_assignment_of_copies_is_optimal():
+    r = random.Random(17)
+    for _ in range(80):
+        copies = {**{f"l{i}": r.randint(1, 2) for i in range(3)}, **{f"r{i}": r.randint(1, 3) for i in range(3)}}
+        pairs = [(f"l{i}", f"r{j}", round(r.random(), 2)) for i in range(3) for j in range(3) if r.random() < 0.7]
+        if pairs:
+            for slots in (1, 2):
+                got = matching.optimal([(a, b, c, slots * copies[a], copies[b]) for a, b, c in pairs])
+                assert all(sum(n for a, *_, n in got if a == x) <= slots * copies[x] for x in copies) and all(sum(n for _, b, _, n in got if b == x) <= copies[x] for x in copies)
+                assert abs(sum(c * n for *_, c, n in got) - brute(pairs, slots, copies)) < 1e-4
+
+
+def test_equal_bids_end_at_once():
+    pairs = [(f"l{i}", f"r{j}", 0.9, 2, 1) for i in range(3) for j in range(50)]
+    began = time.time()
+    got = matching.optimal(pairs)
+    assert len(got) == 6 and time.time() - began < 0.1
+
+
+def test_large_components_by_bids_come_near_the_optimum(spark):
     r = random.Random(13)
     pairs = list({(f"l{r.randrange(30)}", f"r{r.randrange(40)}"): None for _ in range(200)})
     pairs = [(a, b, round(r.uniform(0.5, 1), 3)) for a, b in pairs]
-    df = spark.createDataFrame(pairs, "left_id string, right_id string, confidence double")
-    for slots in (1, 2):
-        got = [tuple(x) for x in matching.assign(df, slots, most_pairs=5).collect()]
-        best = matching.auction(pairs, slots)
-        assert len({b for _, b, _ in got}) == len(got) and max(sum(x[0] == a for x in got) for a, *_ in got) <= slots
-        assert sum(c for *_, c in got) >= 0.5 * sum(c for *_, c in best) and len(got) >= 0.8 * len(best)
+    df = spark.createDataFrame(pairs, "left_id string, right_id string, confidence double").withColumn("copies_l", F.lit(1)).withColumn("copies_r", F.lit(1))
+    for most in (5, 1000):  # both sides of the bound
+        got = [tuple(x) for x in matching.assign(df, 2, most_pairs=most, epsilon=0.05).collect()]
+        best = matching.optimal([(a, b, c, 2, 1) for a, b, c in pairs])
+        assert len({b for _, b, *_ in got}) == len(got) and max(sum(x[0] == a for x in got) for a, *_ in got) <= 2
+        short = sum(x[2] for x in best) - sum(x[2] for x in got)
+        assert short <= (1e-6 if most == 1000 else 0.05 * 40)
+
+
+def test_copies_are_dealt_to_each_other(spark):
+    row = ("The Hot Harbor", None, 1999, "Dana Lo", 100)
+    schema = "id string, title_en string, title_zh string, year int, director string, runtime int"
+    left = spark.createDataFrame([(f"{i:03d}", *row) for i in range(60)] + [("900", "A Quiet Mill", None, 2001, None, 90)], schema)
+    right = spark.createDataFrame([(f"{i:03d}", *row) for i in range(100)] + [("900", "A Quiet Mill", None, 2001, None, None)], schema)
+    got = [(x.left_id, x.right_id) for x in matching.matches(left, right).collect()]
+    assert len(got) == 101 and len({b for _, b in got}) == 101 and ("900", "900") in got
+    held = [sum(a == f"{i:03d}" for a, _ in got) for i in range(60)]
+    assert min(held) == 1 and max(held) == 2 and sum(held) == 100
 
 
 def test_films(spark):
@@ -277,10 +326,10 @@ def test_films(spark):
     titles = spark.createDataFrame(t, "tmdb_id long, title_en string, title_zh string, year int, director_name string, runtime_min int").withColumn("updated_at", F.lit(1)).withColumn("id", F.lit("clash"))
     subjects = spark.createDataFrame(s, "douban_id string, title string, title_en string, year int, director_name string, runtime_min int").withColumn("fetched_at", F.lit(1))
     left, right = matching.film_sides(titles, subjects)
-    got = {(x.left_id, x.right_id) for x in matching.assign(matching.candidates(left, right)).collect()}
+    got = {(x.left_id, x.right_id) for x in matching.matches(left, right).collect()}
     assert got == {("1", "a"), ("1", "e"), ("2", "b"), ("3", "d")}
     empty = matching.film_sides(titles.limit(0), subjects.limit(0))
-    assert matching.assign(matching.candidates(*empty)).count() == 0
+    assert matching.matches(*empty).count() == 0
 
 
 def test_blocks_lose_no_pair(spark):
