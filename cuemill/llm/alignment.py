@@ -103,6 +103,8 @@ def source_sentences(spans: list) -> list[tuple[str, list[int]]]:
 
 
 STRONG_BIT = 1
+#: In place of a token where a count is of the other one alone; tokens are not negative.
+NONE = -1
 
 
 def word_id(token: str) -> int:
@@ -173,7 +175,7 @@ def matrix(source: Side, target: Side, places: tuple[np.ndarray, np.ndarray], en
 def expectation(source: Side, target: Side, entries: Entries | None, once: tuple[np.ndarray, np.ndarray], small: float = 0.0, most_cells: int = 8_000_000) -> pd.DataFrame:
     """Expected counts (s, t, c) of token pairs over the units of a shard; without a known table all pairs are alike.
 
-    Rows without t or s hold the whole count of a source or a target token. A pair whose count is below the share
+    Rows with NONE for t or s hold the whole count of a source or a target token. A pair whose count is below the share
     ``small`` of both its tokens' counts is left to these; added over all shards, what is left out of a pair is below
     that share of its tokens' whole counts, whatever the shards are. The words ``once``, which no other unit has, can
     tell nothing about another unit and give no counts."""
@@ -197,23 +199,20 @@ def expectation(source: Side, target: Side, entries: Entries | None, once: tuple
             p /= p.sum(0, keepdims=True) + 0.02
             np.add.at(counts, (a[:, None] * table.shape[1] + b[None, :]).ravel(), p.ravel())
         counts = counts.reshape(table.shape)
+        del table
         of_s, of_t = counts.sum(1, dtype=np.float64), counts.sum(0, dtype=np.float64)
-        kept = counts >= np.minimum(of_s[:, None], of_t[None, :]).astype(np.float32) * np.float32(small)
-        s, t = np.nonzero(kept & (counts > 0))
         words_s, words_t = (side.words[np.argsort(np.where(place < 0, len(place), place), kind="stable")[: int(place.max(initial=-1)) + 1]] for side, place in ((source, sp), (target, tp)))
-        n, m = len(words_s), len(words_t)
-        if n and m:
-            none = lambda size: pd.array([None] * size, "Int64")
-            out.append(
-                pd.DataFrame(
-                    {
-                        "s": pd.concat([pd.Series(words_s[s], dtype="Int64"), pd.Series(words_s, dtype="Int64"), pd.Series(none(m))]),
-                        "t": pd.concat([pd.Series(words_t[t], dtype="Int64"), pd.Series(none(n)), pd.Series(words_t, dtype="Int64")]),
-                        "c": np.concatenate([counts[s, t], of_s, of_t]).astype(float),
-                    }
-                )
-            )
-    return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"s": pd.array([], "Int64"), "t": pd.array([], "Int64"), "c": np.array([], float)})
+        if not len(words_s) or not len(words_t):
+            continue
+        low = (small * of_t).astype(np.float32)
+        for at in range(0, len(words_s), 256):
+            rows = counts[at : at + 256]
+            s, t = np.nonzero((rows > 0) & (rows >= np.minimum((small * of_s[at : at + 256]).astype(np.float32)[:, None], low[None, :])))
+            out.append((words_s[at + s], words_t[t], rows[s, t]))
+        none = np.full(max(len(words_s), len(words_t)), NONE)
+        out += [(words_s, none[: len(words_s)], of_s), (none[: len(words_t)], words_t, of_t)]
+    s, t, c = (np.concatenate(x) for x in zip(*out)) if out else (np.array([], np.int64),) * 3
+    return pd.DataFrame({"s": s, "t": t, "c": c.astype(float)})
 
 
 def entries_of(dealt: pd.DataFrame) -> Entries:
@@ -237,7 +236,9 @@ def per_shard(shards: DataFrame, table: DataFrame | None, step, schema: str) ->
         def alone(frames):
             for frame in frames:
                 for row in frame.itertuples():
-                    yield step(row, None)
+                    found = step(row, None)
+                    for at in range(0, len(found), 50_000):
+                        yield found.iloc[at : at + 50_000]
 
         return shards.mapInPandas(alone, schema)
     words = F.array_except("s_words", "once_s"), F.array_except("t_words", "once_t")
@@ -272,10 +273,10 @@ def train(shards: DataFrame, rounds: int = 4, floor: float = 0.01) -> DataFrame:
     for _ in range(rounds):
         expected = per_shard(shards, table, step, "pair string, s bigint, t bigint, c double")
         counts = expected.groupBy("pair", "s", "t").agg(F.sum("c").cast("float").alias("c")).checkpoint()
-        by_s = counts.where("t is null").select("pair", "s", F.col("c").alias("of_s"))
-        by_t = counts.where("s is null").select("pair", "t", F.col("c").alias("of_t"))
+        by_s = counts.where(F.col("t") == NONE).select("pair", "s", F.col("c").alias("of_s"))
+        by_t = counts.where(F.col("s") == NONE).select("pair", "t", F.col("c").alias("of_t"))
         p, b = F.col("c") / (F.col("of_s") + 0.5), F.col("c") / (F.col("of_t") + 0.5)
-        shares = counts.where("s is not null and t is not null").join(by_s, ["pair", "s"]).join(by_t, ["pair", "t"]).select("pair", "s", "t", p.cast("float").alias("p"), b.cast("float").alias("b"))
+        shares = counts.where((F.col("s") != NONE) & (F.col("t") != NONE)).join(by_s, ["pair", "s"]).join(by_t, ["pair", "t"]).select("pair", "s", "t", p.cast("float").alias("p"), b.cast("float").alias("b"))
         own = F.col("p") >= floor
         kept = shares.where(own | (F.col("b") >= floor)).select("pair", F.when(own, 0).otherwise(1).alias("side"), F.when(own, F.col("s")).otherwise(F.col("t")).alias("word"), F.struct(F.when(own, F.col("t")).otherwise(F.col("s")).alias("o"), "p", "b").alias("e"))
         lists = kept.groupBy("pair", "side", "word").agg(F.collect_list("e").alias("e"))
