@@ -52,7 +52,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     The size comes from the plan's statistics: nothing runs while the plan is built."""
     session = df.sparkSession
     cores = session.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     split = session._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     if size >= 4 * cores * split:
         return df

@@ -266,7 +266,8 @@ def search_shard(keys: list, texts: list[str], items: Items, share: float, least
             hits.setdefault((doc, item), []).append((place - offset, offset))
     found = []
     for (doc, item), own_hits in hits.items():
-        if len(own_hits) < least:
+        enough = min(least, len(items.anchors[item]))  # a short item has fewer phrases
+        if len(own_hits) < enough:
             continue
         own = items.texts[item]
         n = len(own)
@@ -280,7 +281,7 @@ def search_shard(keys: list, texts: list[str], items: Items, share: float, least
             last = k
             while last + 1 < len(diagonals) and diagonals[last + 1] - diagonals[last] <= slack:
                 last += 1
-            if last - k + 1 >= least:
+            if last - k + 1 >= enough:
                 low = max(starts[doc], diagonals[k] - slack)
                 high = min(starts[doc] + len(parts[doc]) - 1, diagonals[last] + n + slack)
                 chain = covered(own, sequence[low:high], run)

@@ -209,7 +209,31 @@ def test_segments_and_labels():
     assert read("Una cosa está clara: ¿quién?") == (None, 0) and read("[Savovo hums]") == (None, 0) and read("(PASOS)") == (None, 0)
     assert read("♪ BEDALO: la la ♪") == (None, 0) and read("") == (None, 0)
     assert turns.read_segment("[00:05:24] Um, S-Si (tose) vienen", cast)[2] == "Si vienen"
-    assert turns.topological([(2, 0, 5), (1, 1, 9), (1, 0, 9), (3, 0, None)]) == [2, 1, 0, 3]
+    assert turns.ordered([(2, 0, 5), (1, 1, 9), (1, 0, 9), (3, 0, None)]) == [2, 1, 0, 3]
+    # a caption without number goes where its time puts it; without either it comes last
+    assert turns.ordered([(1, 0, 10), (2, 0, 20), (3, 0, 30), (None, 0, 25), (None, 0, None)]) == [0, 1, 3, 2, 4]
+    # number against time: the number holds, and what only time places keeps to the times that are left
+    assert turns.ordered([(1, 0, 40), (2, 0, 20), (3, 0, 50), (None, 0, 45)]) == [0, 1, 3, 2]
+
+
+def test_cycles_lose_their_least_trusted_constraint():
+    r = random.Random(3)
+    for _ in range(300):
+        n = r.randint(2, 9)
+        order = list(range(n))
+        r.shuffle(order)
+        rank = {k: i for i, k in enumerate(order)}
+        edges = []
+        for _ in range(r.randint(1, 20)):
+            a, b = r.sample(range(n), 2)
+            if rank[a] > rank[b]:
+                a, b = b, a
+            edges.append((2, a, b))
+        noise = [(1, *r.sample(range(n), 2)) for _ in range(r.randint(0, 6))]
+        got = {k: i for i, k in enumerate(turns.topological(n, edges + noise, lambda k: k))}
+        assert sorted(got) == list(range(n)) and all(got[a] < got[b] for _, a, b in edges)
+        if not any(rank[a] > rank[b] for _, a, b in noise):
+            assert all(got[a] < got[b] for _, a, b in noise)
 
 
 def test_turns_over_chunks_against_a_loop(spark):
@@ -499,3 +523,13 @@ def test_packing_is_complete(spark):
     assert packing.pack(df.limit(0), profiles).count() == 0
     assert packing.fill(packing.pack(df, profiles), profiles).count() == 2
     assert isinstance(out, pd.DataFrame)
+
+
+def test_short_items_are_found(spark):
+    r = random.Random(31)
+    words = ["".join(r.choice("bdklmnrstv") + r.choice("aeiou") for _ in range(3)) for _ in range(3000)]
+    items = [(n * 10 + k, "en", " ".join(r.choice(words) for _ in range(n))) for n in range(2, 12) for k in range(3)]
+    docs = [(i, " ".join(r.choice(words) for _ in range(30)) + " " + text + " " + " ".join(r.choice(words) for _ in range(30))) for i, _, text in items]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {(x.doc_id, x.item_id) for x in leakage.leaks(df, spark.createDataFrame(items, "item_id long, lang string, text string")).collect()}
+    assert {(i, i) for i, *_ in items} <= found
