@@ -3,7 +3,8 @@
 Character n-gram models (orders 4, 2 and 1, Witten-Bell style back-off over hashed counts) of natural prose, filler,
 error notices and unfilled fields are fitted on the driver from a bounded sample of documents (parameter ``sample``)
 and on seed texts. Each character of each document then gets a log-likelihood ratio per class; windows whose mean
-ratio is high localise the residue, and the share of a sentence (or delimited field) that such windows cover decides.
+ratio is high localise the residue, and the share of a sentence that such windows cover decides. Delimiters give the
+extent of a possible field, as a full stop does that of a sentence; whether it is one, its ratio decides.
 
 Defined results: a null or empty text has no residue; equal texts get equal results; a very long text is scored in
 one vectorised pass without being cut; columns besides the key and the text are ignored; an empty table gives an
@@ -91,8 +92,6 @@ DELIMITED = re.compile(
     r"\{\{[^{}\n]{1,60}\}\}|\$\{[^{}\n]{1,60}\}|\{[^\W\d][\w .-]{1,40}\}|<%=?[^%\n]{1,60}%>|\[\[[^\[\]\n]{1,60}\]\]|%\([^()\n]{1,40}\)[sdif]"
     r"|%[^\W\d]\w{2,40}%|@@\w[\w .-]{0,40}@@|(?<!\w)__[^\W_][\w .-]{0,40}?__(?!\w)|\[[^\[\]\n]{2,60}\]|<[^<>/\n]{4,60}>|【[^【】\n]{2,40}】"
 )
-#: Delimiters that only templates use: their piece needs no further evidence than an identifier inside.
-HARD = re.compile(r"\{\{\s*[^\W\d][\w .-]*\}\}|\$\{\s*[^\W\d][\w .-]*\}|<%=?\s*[^\W\d][\w .-]*%>|\[\[\s*[^\W\d][\w .-]*\]\]|%\([^\W\d]\w*\)[sdif]|@@[^\W\d][\w .-]*@@|\{[^\W\d]\w{2,}\}|%[^\W\d]\w{2,}%|__[^\W_][\w .-]*?__")
 PIECE = re.compile(r"[^.!?。！？\n]*(?:[.!?。！？]+[\"'”’»」』)\]]*|\n|$)")
 
 
@@ -141,6 +140,9 @@ def seeds() -> dict[int, list[str]]:
     random = np.random.default_rng(0)
     latin = [" ".join(["Lorem ipsum dolor sit amet", *random.choice(LATIN_FILLER, 20)]) + "." for _ in range(60)]
     names = [*FIELD_NAMES, *(x.replace("_", " ") for x in FIELD_NAMES if "_" in x)]
+    # any identifier may stand in a field: made-up ones of one and two parts
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    names += ["_".join("".join(random.choice(letters, random.integers(3, 9))) for _ in range(1 + k % 2)) for k in range(80)]
     fields = [form % name for form, name in itertools.product(FIELD_FORMS, names)]
     return {FILLER: FILLER_SEEDS * 3 + latin, ERROR: ERROR_SEEDS * 3, FIELD: fields + FIELD_WORDS * 6}
 
@@ -164,7 +166,7 @@ def fit_counts(texts: dict[int, list[str]], bits: int, common: float = 0.002) ->
     return ResidueModel(bits, counts, totals)
 
 
-def find_spans(texts: list[str], model: ResidueModel, window: int = 24, high: float = 0.8, cover: float = 0.7, least: float = 14.0, support: float = 0.4) -> list[list[tuple[int, int, str]]]:
+def find_spans(texts: list[str], model: ResidueModel, window: int = 24, high: float = 0.8, cover: float = 0.7, least: float = 14.0, support: float = 0.4, field: float = 5.0) -> list[list[tuple[int, int, str]]]:
     """Of each text the spans (begin, end, kind) of residue, in code points."""
     codes = code_points("\n\n\n".join(["", *texts]))
     if not len(codes):
@@ -200,7 +202,7 @@ def find_spans(texts: list[str], model: ResidueModel, window: int = 24, high: fl
             sums = total[base : base + len(text) + 1, FIELD - 1]
             for m in DELIMITED.finditer(text):
                 begin, end = m.span()
-                if HARD.fullmatch(m.group()) or sums[end] - sums[begin] >= max(10.0, high * min(window, end - begin)):
+                if sums[end] - sums[begin] >= field:
                     spans.append((begin, end, KINDS[FIELD]))
         found.append(sorted(spans))
         base += len(text) + 3
