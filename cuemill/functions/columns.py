@@ -445,7 +445,13 @@ def release_keywords(c: Column) -> Column:
 
 
 def http_reason(code: Column) -> Column:
-    return F.when(code.isin(401, 403), "auth_error").when(code == 429, "rate_limit").when(code >= 500, "server_error").when(code == 404, "not_found").when(code.isNull(), "network_error").otherwise("bad_request")
+    """Kind of a failed call by its status; any other status, and none at all, is the network's."""
+    return F.when(code.isin(401, 403), "auth_error").when(code == 429, "rate_limit").when(code >= 500, "server_error").otherwise("network_error")
+
+
+def quota_text(c: Column) -> Column:
+    """Whether an error text says that a quota is used up."""
+    return F.lower(F.coalesce(c, F.lit(""))).rlike("quota|resource_exhausted|credit|included usage")
 
 
 def subject_id(url: Column) -> Column:
@@ -521,3 +527,52 @@ def marker_order(marker: Column) -> Column:
     """struct<cue, part> to sort marker ids by number: 9 before 10, 10 before 10.1."""
     parts = F.split(marker, r"\.")
     return F.struct(parts.getItem(0).cast("int").alias("cue"), F.coalesce(F.get(parts, F.lit(1)).cast("int"), F.lit(0)).alias("part"))
+
+
+# ---- ids of a film ----
+def manual_id(c: Column) -> Column:
+    """struct<kind, value> of what was typed in: an IMDb id anywhere, else the first digits as a TMDB id."""
+    imdb = F.nullif(F.regexp_extract(F.coalesce(c, F.lit("")), r"tt\d{6,9}", 0), F.lit(""))
+    digits = F.nullif(F.regexp_extract(F.coalesce(c, F.lit("")), r"\d+", 0), F.lit(""))
+    return F.struct(F.when(imdb.isNotNull(), "imdb").when(digits.isNotNull(), "tmdb").alias("kind"), F.coalesce(imdb, digits).alias("value"))
+
+
+def readme_ids(c: Column) -> Column:
+    """struct<media_type, tmdb_id, imdb_id>: the first links of each kind."""
+    link = lambda pattern, group: F.nullif(F.regexp_extract(F.coalesce(c, F.lit("")), pattern, group), F.lit(""))
+    tmdb = r"themoviedb\.org/(movie|tv)/(\d+)"
+    return F.struct(link(tmdb, 1).alias("media_type"), link(tmdb, 2).alias("tmdb_id"), link(r"imdb\.com/title/(tt\d+)", 1).alias("imdb_id"))
+
+
+# ---- spans and cues of a unit ----
+def translatable(text: Column, hits: Column) -> Column:
+    """Whether a word character is left beside the glossary hits (start, end)."""
+    blanked = F.aggregate(hits, text, lambda x, h: F.concat(F.substr(x, F.lit(1), h["start"]), F.repeat(F.lit(" "), h["end"] - h["start"]), F.substr(x, h["end"] + 1)))
+    return F.coalesce(blanked, text).rlike(r"[\p{L}\p{N}_]")
+
+
+def addressable(spans: Column, resolved: Column) -> Column:
+    """Of each span whether it can be asked for alone: it has a marker of its own, or is the only one of an open unit."""
+    return F.transform(spans, lambda s: F.coalesce(s["boundary"] == "marker", F.lit(False)) | ((F.size(spans) == 1) & resolved.isNull()))
+
+
+def boundary_stops(html: Column) -> Column:
+    """Places (from 0, in order) at which a reply's pieces may end: the first tag or group marker of each numbered span, every other one, and every div."""
+    def places(pattern: str) -> Column:
+        # the text in front of each match, piece by piece
+        pieces = F.split(html, pattern)
+        found = F.regexp_extract_all(html, F.lit(pattern), 0)
+        zipped = F.zip_with(F.slice(pieces, 1, F.size(found)), found, lambda before, m: F.struct(F.length(before).alias("n"), m.alias("m")))
+        summed = F.aggregate(
+            zipped,
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,m:string>>").alias("l")),
+            lambda a, z: F.struct((a["at"] + z["n"] + F.length(z["m"])).alias("at"), F.concat(a["l"], F.array(F.struct((a["at"] + z["n"]).alias("at"), z["m"].alias("m")))).alias("l")),
+        )
+        return summed["l"]
+
+    tags = F.concat(places(r"<span[^>]*>"), places("⟦[^⟦⟧]*⟧"))
+    number = lambda m: F.nullif(F.regexp_extract(m, r"(?:data-)?id=\"?[a-z]*(\d+)\"?|⟦[a-z]*(\d+)⟧", 1), F.lit(""))
+    second = lambda m: F.nullif(F.regexp_extract(m, r"⟦[a-z]*(\d+)⟧", 1), F.lit(""))
+    numbered = F.transform(tags, lambda x: F.struct(F.coalesce(number(x["m"]), second(x["m"])).alias("id"), x["at"].alias("at")))
+    first = F.filter(numbered, lambda x: x["id"].isNull() | ~F.exists(numbered, lambda y: (y["id"] == x["id"]) & (y["at"] < x["at"])))
+    return F.array_sort(F.concat(F.transform(first, lambda x: x["at"]), F.transform(places("<div[^>]*>"), lambda x: x["at"])))

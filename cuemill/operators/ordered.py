@@ -52,6 +52,23 @@ def with_running_sum(df: DataFrame, keys: list[str], order: str, value: Column,
     return own.join(before, [*keys, "_chunk"]).withColumn(name, F.col("_before") + F.col("_sum")).drop("_sum", "_before", "_value", "_chunk")
 
 
+def ranks(df: DataFrame, keys: list[str], order: list[Column], name: str = "place") -> DataFrame:
+    """Adds the place (from 1) of each row inside its key, in an order of any columns.
+
+    The rows are sorted by ranges over all tasks, so that a key of any size is spread; what a task needs of the others
+    is how many rows they hold, and where each key begins is one small row per key."""
+    named = df.withColumns({f"_o{k}": c for k, c in enumerate(order)})
+    by = [*keys, *[f"_o{k}" for k in range(len(order))]]
+    # written once: a second reading of a range partitioning could cut it elsewhere
+    rows = settled(named.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id() % F.lit(1 << 33)))
+    sizes = rows.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    placed = rows.join(F.broadcast(before), "_part").withColumn("_place", F.col("_before") + F.col("_at"))
+    first = placed.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min("_place").alias("_first"))
+    joined = placed.join(first, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return joined.select(*df.columns, (F.col("_place") - F.col("_first") + 1).cast("bigint").alias(name))
+
+
 def latest(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
     """One row per key, the greatest in ``by``: an aggregation that combines before it shuffles, not a sort of each key's rows."""
     rest = [c for c in df.columns if c not in keys]

@@ -16,7 +16,10 @@ SCENE_CHANGE_MS, MOST_CHAINED, MOST_QUOTED = 30_000, 16, 10
 #: Islands of segments that one call folds.
 ISLANDS = 256
 #: Languages written in Latin letters.
-LATIN_LANGUAGES = "en es fr de it pt nl pl sv da no fi ro cs hu tr id vi ms tl ca eu gl la hr sk sl lt lv et sq cy is af".split()
+LATIN_LANGUAGES = (
+    "en", "es", "fr", "de", "it", "pt", "nl", "pl", "sv", "da", "no", "fi", "ro", "cs", "hu", "tr", "id", "vi", "ms", "tl", "ca", "eu", "gl", "la",
+    "hr", "sk", "sl", "lt", "lv", "et", "sq", "cy", "is", "af",
+)
 
 
 # ---- chapters ----
@@ -62,8 +65,8 @@ def _music_goes_on(texts: pd.Series) -> pd.Series:
 def _cjk_goes_on(base: pd.Series, before: pd.Series, after: pd.Series, gap: pd.Series) -> pd.Series:
     out = []
     for lang, a, b, g in zip(base, before, after, gap):
-        rule = R.CJK_RULES.get(lang)
-        out.append(bool(rule and a is not None and b is not None and rule(a, R.tail_of(a), b, 10**9 if g != g or g is None else int(g))))
+        edges = R.EDGES.get(lang)
+        out.append(bool(edges and a is not None and b is not None and edges.go_on(a, R.tail_of(a), b, 10**9 if g != g or g is None else int(g))))
     return pd.Series(out)
 
 
@@ -75,7 +78,7 @@ def merge_reasons(segments: DataFrame, keys: list[str], order: str, language: Co
     own = with_previous(own, keys, order, ["cue_id", "text", "end_ms", "music", "_tail"], "_p")
     gap = F.col("start_ms") - F.col("_p.end_ms")
     latin = F.col("_base").isin(*LATIN_LANGUAGES)
-    spaceless = F.col("_base").isin(*R.CJK_RULES)
+    spaceless = F.col("_base").isin(*R.EDGES)
     goes_on = F.when(spaceless, _cjk_goes_on("_base", "_p.text", "text", gap)).otherwise(latin_rule(F.col("_p._tail"), F.col("_head"), gap))
     reason = (
         F.when(F.col("_p").isNull() | (F.col("_p.music") != F.col("music")), None)

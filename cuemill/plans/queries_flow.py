@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import lookup
 from ..operators import sequence as S
-from ..operators.ordered import latest, with_previous, with_running_sum
+from ..operators.ordered import latest, ranks, with_previous, with_running_sum
 from .queries_text import CUES, cue_texts, t
 
 QUERIES: dict = {}
@@ -50,10 +50,9 @@ SELECT event_id, CAST(dense_rank() OVER (PARTITION BY user_id ORDER BY p) AS INT
 def event_sessions(spark, d):
     """Gap sessions of events per user and kind, numbered over all kinds."""
     ms = F.expr("timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01', ts)")
-    # users' events are ordered by time; event_id breaks ties, and a running count makes the order a whole number
+    # users' events are ordered by time, event_id breaks ties; their places make the order a whole number
     own = t(spark, d, "events").select("event_id", "user_id", "event_type", ms.alias("ms"))
-    placed = own.withColumn("_o", F.col("ms") * 1000000 + F.col("event_id") % 1000000)
-    pos = with_running_sum(placed, ["user_id"], "_o", F.lit(1), "pos", size=86_400_000 * 1000000)
+    pos = ranks(own, ["user_id"], [F.col("ms"), F.col("event_id")], "pos")
     return S.chapters(pos, ["user_id"], "event_type", "pos", "ms", "ms", 21_600_000).select("event_id", F.col("chapter_id").alias("session_no"))
 
 
@@ -161,10 +160,8 @@ _RANK = "c AS (SELECT year AS k, douban_id AS id, score, row_number() OVER (PART
 
 
 def by_year(spark, d):
-    from pyspark.sql import Window
-
-    own = t(spark, d, "douban_subjects").where(F.col("year").isNotNull())
-    return own.select(F.col("year").alias("k"), F.col("douban_id").alias("id"), "score", F.row_number().over(Window.partitionBy("year").orderBy("douban_id", "fetched_at")).alias("pos"))
+    own = t(spark, d, "douban_subjects").where(F.col("year").isNotNull()).select(F.col("year").alias("k"), F.col("douban_id").alias("id"), "score", "fetched_at")
+    return ranks(own, ["k"], [F.col("id"), F.col("fetched_at")], "pos").select("k", "id", "score", "pos")
 
 
 @query(f"""WITH {_RANK} SELECT c.k, c.id, c.pos, row_number() OVER (PARTITION BY c.k ORDER BY coalesce(score, 0) DESC, n.n DESC, pos) AS place FROM c JOIN n ON c.k = n.k AND c.id = n.id""")
@@ -196,8 +193,7 @@ def title_groups(spark, d):
 
 @query("""WITH e AS (SELECT DISTINCT edition FROM subtitle_files) SELECT edition, array_to_string(list_filter(regexp_split_to_array(edition, '[-_]+'), lambda k: k <> ''), ',') AS keywords, 'en:eng,zh-Hans:chi,fr:fre' AS languages FROM e""")
 def edition_jobs(spark, d):
-    languages = spark.createDataFrame([(1, "en"), (2, "zh-Hans"), (3, "tlh"), (4, "fr")], "ord int, tag string")
-    jobs = lookup.edition_jobs(t(spark, d, "subtitle_files").select("edition").distinct(), languages)
+    jobs = lookup.edition_jobs(t(spark, d, "subtitle_files").select("edition").distinct(), ["en", "zh-Hans", "tlh", "fr"])
     return jobs.select("edition", "keywords", F.array_join(F.transform("languages", lambda x: F.concat(x["tag"], F.lit(":"), x["code"])), ",").alias("languages"))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import queries_align, queries_flow, queries_text
+from . import cases, queries_align, queries_flow, queries_resolve, queries_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +16,8 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {**queries_text.QUERIES, **queries_flow.QUERIES, **queries_align.QUERIES}
+    return {**queries_text.QUERIES, **queries_flow.QUERIES, **queries_align.QUERIES, **queries_resolve.QUERIES, **cases.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**queries_text.SQL, **queries_flow.SQL, **queries_align.SQL}
+    return {**queries_text.SQL, **queries_flow.SQL, **queries_align.SQL, **queries_resolve.SQL, **cases.SQL}

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import lookup
+from ..operators.ordered import settled
+from ..sources import connector
+from ..sources.connector import Transport
 
 #: Budget of estimated tokens, languages dropped in this order, sections that an answer must have.
 TARGET_TOKENS, HARD_TOKENS = 10_000, 14_000
@@ -78,6 +81,38 @@ def tables_of(block: Column) -> Column:
     return F.transform(F.regexp_extract_all(block, F.lit(r"(\|.+\|(?:\n\|.+\|)+)"), 1), F.trim)
 
 
+def well_formed(sections: Column) -> Column:
+    """Whether all required sections are there, and the table of names has exactly two tables."""
+    own = required(sections)
+    return own["missing"].isNull() & (F.size(tables_of(F.try_element_at(own["found"], F.lit(REQUIRED[1])))) == 2)
+
+
+#: How often a malformed answer is asked for again, and the retry from which a plot less is sent each time.
+MOST_RETRIES, DROP_FROM = 3, 2
+
+
+def without(plots: Column, gone: tuple[str, ...]) -> Column:
+    return F.map_filter(plots, lambda k, _: ~k.isin(*gone)) if gone else plots
+
+
+def answered(facts: DataFrame, key: str, plots: str, others: list[str], transport: Transport, parallel: int = 8) -> DataFrame:
+    """(key, retries, success, reason, sections): the facts sent as JSON, the answer cut into sections.
+
+    A failed call ends at once with its reason; a malformed answer is asked for again, from the second retry on with one
+    of the plots REDUCIBLE less each time. Each round sends only what the rounds before left open."""
+    open_, done = settled(facts), None
+    for retry in range(MOST_RETRIES + 1):
+        gone = REDUCIBLE[: max(0, retry - DROP_FROM + 1)]
+        payload = F.struct(without(F.col(plots), gone).alias("plots"), *others)
+        sent = connector.call(open_.withColumn("_payload", F.to_json(payload)), "_payload", transport, parallel)
+        read = settled(sent.withColumn("sections", sections_of(F.col("body"))).withColumn("_good", F.col("error").isNull() & F.coalesce(well_formed(F.col("sections")), F.lit(False))))
+        again = F.col("error").isNull() & ~F.col("_good") if retry < MOST_RETRIES else F.lit(False)
+        ended = read.where(~again).select(key, F.lit(retry).alias("retries"), F.col("_good").alias("success"), F.when(~F.col("_good"), F.coalesce("error", F.lit("malformed_llm_output"))).alias("reason"), "sections")
+        done = ended if done is None else done.unionByName(ended)
+        open_ = read.where(again).select(*facts.columns)
+    return done
+
+
 def paragraphs(text: Column) -> Column:
     """A blank line between plain lines; never more than one."""
     plain = r"(?m)^(?=\S)(?![#|])(?!.*<br>)(.*)\n(?=[^\S\n]*[^\s#|])(?![^\n]*<br>)"

@@ -38,7 +38,8 @@ def manifest(files: DataFrame, key: str, text: str) -> DataFrame:
     return rows.select(key, "ord", *[F.get("c", F.lit(i)).alias(n) for i, n in enumerate(("action", "source", "destination", "commit_message"))])
 
 
-def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def json_lines(spark: SparkSession, path: str, schema: str, order: tuple[str, ...] = ("seq", "direction")) -> DataFrame:
     """Recorded calls in the order of their number, then direction; blank lines don't count."""
     rows = spark.read.text(path).where(F.trim("value") != "")
-    return rows.select(F.from_json("value", schema).alias("r")).select("r.*")
+    out = rows.select(F.from_json("value", schema).alias("r")).select("r.*")
+    return out.orderBy(*[c for c in order if c in out.columns])

@@ -17,19 +17,14 @@ def file_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -
     return raw.select("path", srt.decoded("content").alias("d")).select("path", "d.*")
 
 
-def process_new(stream: DataFrame, plan: Callable[[DataFrame], DataFrame], output: str, checkpoint: str, key: str = "path") -> StreamingQuery:
-    """Runs a batch plan over each micro batch and appends what isn't there yet, so that a batch that is run again adds nothing."""
+def process_new(stream: DataFrame, plan: Callable[[DataFrame], DataFrame], output: str, checkpoint: str) -> StreamingQuery:
+    """Runs a batch plan over each micro batch and writes it under the batch's own number.
+
+    A batch that is run again overwrites what its first run left, so that nothing is there twice and nothing that was
+    written before is read. Each batch is a folder ``batch=N``, a partition of the output table."""
 
     def add(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        done = plan(batch)
-        try:
-            there = spark.read.parquet(output).select(key).distinct()
-            done = done.join(there, key, "left_anti")
-        except Exception as error:  # noqa: BLE001  the first batch finds no output
-            if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-                raise
-        done.write.mode("append").parquet(output)
+        plan(batch).write.mode("overwrite").parquet(f"{output}/batch={number}")
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -12,6 +12,26 @@ from cuemill.plans import subtitles, synopsis, translate
 from cuemill.sources import connector, html, markdown, srt
 
 
+#: (end of the segment, begin of the next, longest pause in ms for which it goes on), by hand; the first that fits counts, a pause of -1 never fits.
+LATIN_CASES = [
+    ("terminal", "any", -1),
+    ("dash", "lower", 200),
+    ("dash", "any", -1),
+    ("ellipsis", "ellipsis", 1500),
+    ("ellipsis", "upper", -1),
+    ("ellipsis", "lower", 10**9),
+    ("ellipsis", "any", 200),
+    ("any", "lower", 10**9),
+    ("continuing", "any", 1500),
+    ("any", "any", 200),
+]
+
+
+def latin_case(tail, head, gap):
+    longest = next(most for end, begin, most in LATIN_CASES if (end == "any" or tail[end]) and (begin == "any" or head[begin]))
+    return gap <= longest
+
+
 def test_previous_and_running_sum_cross_chunks(spark):
     rows = [(k, o, o * 3 % 7) for k in "ab" for o in random.Random(1).sample(range(200), 60)]
     df = spark.createDataFrame(rows, "k string, o int, v int")
@@ -66,7 +86,7 @@ def loop_groups(segments):
                     if head["closer"] or tail["opener"]:
                         reason = "gap" if gap <= 1500 else None
                     else:
-                        reason = "gap" if R.latin_continues(tail, head, gap) else None
+                        reason = "gap" if latin_case(tail, head, gap) else None
             merged = merged or bool(reason and not (full and reason in ("gap", "music")))
         if merged:
             current.append(s)
