@@ -43,10 +43,10 @@ def entities(identified: DataFrame, catalogue: DataFrame, key: str) -> DataFrame
     reason = F.when(F.col("lacking").isNotNull(), F.col("lacking")).when(F.col("found").isNull(), F.when(F.col("kind") == "tmdb", C.http_reason(F.lit(404))).otherwise("not_found"))
     done = ids.select(key, reason.isNull().alias("success"), reason.alias("reason"), *[F.col(f"found.{x}").alias(x) for x in FIELDS], F.lit(None).cast("string").alias("canonical_repo_name"))
 
-    names = identified.where(F.col("kind") == "name").withColumn("p", C.parse_repo_name(F.col("value"))).select(key, "value", "p.title", "p.year", "p.strict")
+    names = identified.where(F.col("kind") == "name").withColumn("p", C.parse_repo_name(F.col("value"))).select(F.col(key).alias("_request"), "value", "p.title", "p.year", "p.strict")
     entries = catalogue.select(F.col("tmdb_id").alias("id"), F.col("title_en").alias("name"), F.col("year").alias("released"))
-    found = names.join(lookup.best_titles(names, entries, key), key, "left")
-    judged = lookup.resolution(found, key).alias("j").join(catalogue.select(*FIELDS).dropDuplicates(["tmdb_id"]).alias("c"), F.col("j.id") == F.col("c.tmdb_id"), "left")
+    found = names.join(lookup.best_titles(names, entries, "_request"), "_request", "left")
+    judged = lookup.resolution(found, "_request").alias("j").join(catalogue.select(*FIELDS).dropDuplicates(["tmdb_id"]).alias("c"), F.col("j.id") == F.col("c.tmdb_id"), "left")
     good, canonical = F.col("j.reason").isNull(), F.concat_ws("_", F.regexp_replace(R.safe("j.name"), r"\s+", "_"), F.col("j.released").cast("string"))
-    by_name = judged.select(f"j.{key}", good.alias("success"), "j.reason", *[F.when(good, F.col(f"c.{x}")).alias(x) for x in FIELDS], F.when(good & (canonical != F.col("j.value")), canonical).alias("canonical_repo_name"))
+    by_name = judged.select(F.col("j._request").alias(key), good.alias("success"), "j.reason", *[F.when(good, F.col(f"c.{x}")).alias(x) for x in FIELDS], F.when(good & (canonical != F.col("j.value")), canonical).alias("canonical_repo_name"))
     return done.unionByName(by_name)
