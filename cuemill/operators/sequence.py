@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..functions import rules as R
-from .ordered import settled, with_previous, with_running_sum
+from .ordered import ranks, settled, with_previous, with_running_sum
 
 #: A scene ends after a longer pause (ms), a chain holds so many segments, a quotation stays open over so many.
 SCENE_CHANGE_MS, MOST_CHAINED, MOST_QUOTED = 30_000, 16, 10
@@ -27,12 +27,16 @@ def chapters(groups: DataFrame, keys: list[str], kind: str, order: str, start: s
     """Adds chapter_id: per kind a new chapter after a pause longer than the gap since the last row's end; numbered by first appearance over all kinds.
 
     Null times count as no pause. A row whose end lies before an earlier row's end still sets the pause, as the last row does."""
-    own = with_previous(groups, [*keys, kind], order, [end], "_prior")
+    # what decides is written once: each step below reads it twice
+    slim = settled(groups.select(*keys, kind, order, start, end))
+    own = with_previous(slim, [*keys, kind], order, [end], "_prior")
     breaks = F.when(F.col("_prior").isNull() | (F.col(start) - F.col(f"_prior.{end}") > gap_ms), 1).otherwise(0)
-    numbered = with_running_sum(own, [*keys, kind], order, breaks, "_no").drop("_prior")
+    begun = settled(own.select(*keys, kind, order, breaks.alias("_break")))
+    numbered = with_running_sum(begun, [*keys, kind], order, F.col("_break"), "_no").drop("_break")
     firsts = numbered.groupBy(*keys, kind, "_no").agg(F.min(order).alias("_at"))
-    ranked = firsts.withColumn("chapter_id", F.row_number().over(Window.partitionBy(*keys).orderBy("_at"))).drop("_at")
-    return numbered.join(ranked, [*keys, kind, "_no"]).drop("_no")
+    ranked = ranks(firsts, keys, [F.col("_at")], "chapter_id").withColumn("chapter_id", F.col("chapter_id").cast("int")).drop("_at")
+    placed = numbered.join(ranked, [*keys, kind, "_no"]).select(*keys, order, "chapter_id")
+    return groups.join(placed, [*keys, order])
 
 
 # ---- merging segments ----
@@ -162,22 +166,21 @@ def marker_ids(spans: DataFrame, unit: list[str], cue: str = "cue_id", order: st
 def pack_next_fit(items: DataFrame, keys: list[str], order: str, cost: str, limit: int, most_items: int = 50) -> DataFrame:
     """Adds batch_no: an item that would pass the limit, or the number of items, opens the next batch.
 
-    Each key's items are folded in one array of (order, cost) pairs, a few bytes an item; a key is a request's worth of work."""
-    zero = F.struct(F.lit(0).alias("batch"), F.lit(0).cast("bigint").alias("used"), F.lit(0).alias("n"), F.array().cast(f"array<struct<{order}:{items.schema[order].dataType.simpleString()},batch:int>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        full = (acc["n"] > 0) & ((acc["used"] + x["cost"] > limit) | (acc["n"] >= most_items))
-        batch = F.when(full | (acc["batch"] == 0), acc["batch"] + 1).otherwise(acc["batch"])
-        return F.struct(
-            batch.cast("int").alias("batch"),
-            F.when(full, x["cost"]).otherwise(acc["used"] + x["cost"]).cast("bigint").alias("used"),
-            F.when(full, F.lit(1)).otherwise(acc["n"] + 1).cast("int").alias("n"),
-            F.concat(acc["out"], F.array(F.struct(x[order].alias(order), batch.cast("int").alias("batch")))).alias("out"),
-        )
-
-    pairs = items.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(order, F.col(cost).cast("bigint").alias("cost")))).alias("_items"))
-    packed = pairs.select(*keys, F.explode(F.aggregate("_items", zero, step, lambda acc: acc["out"])).alias("_x"))
-    return items.join(packed.select(*keys, F.col(f"_x.{order}").alias(order), F.col("_x.batch").alias("batch_no")), [*keys, order])
+    Only (order, cost) of a key's items meet in a task, a few bytes an item, and are folded once; a key is a request's worth of work."""
+    schema = ", ".join(f"{c} {items.schema[c].dataType.simpleString()}" for c in [*keys, order]) + ", batch_no int"
+
+    def fold(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(order)
+        batch, used, held, out = 0, 0, most_items, []
+        for own in frame[cost].fillna(0).astype("int64").tolist():
+            if held >= most_items or used + own > limit:
+                batch, used, held = batch + 1, 0, 0
+            used, held = used + own, held + 1
+            out.append(batch)
+        return frame.assign(batch_no=out)[[*keys, order, "batch_no"]]
+
+    packed = items.select(*keys, order, cost).groupBy(*keys).applyInPandas(fold, schema)
+    return items.join(packed, [*keys, order])
 
 
 def chapter_batches(items: DataFrame, file_key: str, chapter: str, order: str, cost: str, limit: int, group_overhead: int = 0) -> DataFrame:

@@ -8,7 +8,8 @@ from ..functions import columns as C
 from ..operators import lookup
 from ..operators import sequence as S
 from ..operators.ordered import latest, ranks, with_previous, with_running_sum
-from .queries_text import CUES, cue_texts, t
+from ..functions import rules as R
+from .queries_text import CUES, ENDS, HEAD_STRIP, cue_texts, t
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -29,6 +30,9 @@ MS = "((CAST(split_part({0}, ':', 1) AS BIGINT) * 60 + CAST(split_part({0}, ':',
 TIMED = f"ti AS (SELECT file_id, cue_id, max_by(text, ingested_at) AS text, {MS.format('max_by(start_time, ingested_at)')} AS s, {MS.format('max_by(end_time, ingested_at)')} AS e FROM cues GROUP BY file_id, cue_id)"
 
 
+TIMED_LANG = TIMED.replace("max_by(text, ingested_at) AS text", "max_by(text, ingested_at) AS text, max_by(lang, ingested_at) AS lang")
+
+
 def timed(spark, d):
     c = t(spark, d, "cues").groupBy("file_id", "cue_id").agg(F.max_by(F.struct("text", "start_time", "end_time", "lang"), "ingested_at").alias("c"))
     return c.select("file_id", "cue_id", "c.text", "c.lang", C.time_ms(F.col("c.start_time")).alias("s"), C.time_ms(F.col("c.end_time")).alias("e"))
@@ -62,9 +66,32 @@ def cue_gaps(spark, d):
     return own.select("file_id", "cue_id", (F.col("s") - F.col("previous.e")).alias("gap_ms"))
 
 
-@query()
+def _words(own, single: bool = False) -> str:
+    own = [w for w in own if len(w) == 1] if single else own
+    return "|".join(own) or "[^\\s\\S]"
+
+
+def _go_on(words) -> str:
+    """SQL: whether b goes on with a in a script without spaces, from the columns pbody, lead and pt_ flags."""
+    open_end = f"(regexp_matches(pbody, '(?:{_words(words['phrase'])})$') OR (regexp_matches(pbody, '(?:{_words(words['end'], True)})$') AND NOT regexp_matches(pbody, '(?:{_words(words['complete'])})$')))"
+    new = f"regexp_matches(lead, '^(?:{_words(words['new'])}|[（(【\\[－―-])')"
+    bound = f"regexp_matches(lead, '^(?:{_words(words['start'], True)}|{_words(words['go_on'])})')"
+    return f"NOT (pt OR pe OR pcl OR pd) AND gap <= 1500 AND CASE WHEN {open_end} OR pc THEN NOT {new} ELSE {bound} END"
+
+
+_LATIN_SQL = ", ".join(f"'{x}'" for x in S.LATIN_LANGUAGES)
+
+
+@query(rf"""WITH {TIMED_LANG}, x AS (SELECT *, split_part(lower(coalesce(lang, '')), '-', 1) AS base, regexp_matches(text, '[♩♪♫♬]') AS music FROM ti), {ENDS},
+mu AS (SELECT *, trim(regexp_replace(text, '[♩♪♫♬]', '')) AS bare FROM ends), mv AS (SELECT *, regexp_replace(bare, '{HEAD_STRIP}', '') AS ml FROM mu),
+mw AS (SELECT *, regexp_full_match(regexp_extract(regexp_replace(ml, '(?i)</?[ibu]>', '', 'g'), '\p{{L}}'), '\p{{Ll}}') AND NOT regexp_matches(regexp_replace(ml, '^["'']+', ''), '^(…|\.\.)') AS music_on FROM mv),
+p AS (SELECT *, s - lag(e) OVER w AS gap, lag(text) OVER w AS ptext, lag(body) OVER w AS pbody, lag(music) OVER w AS pm, lag(cue_id) OVER w AS pcue, lag(tail_terminal) OVER w AS pt, lag(tail_ellipsis) OVER w AS pe, lag(tail_continuing) OVER w AS pc, lag(tail_dash) OVER w AS pd, lag(tail_closed) OVER w AS pcl, lag(tail_opener) OVER w AS po FROM mw WINDOW w AS (PARTITION BY file_id ORDER BY cue_id)),
+g AS (SELECT *, base IN ({_LATIN_SQL}) AS latin, CASE base WHEN 'ja' THEN {_go_on(R.JA)} WHEN 'zh' THEN {_go_on(R.ZH)} WHEN 'yue' THEN {_go_on(R.YUE)}
+ELSE CASE WHEN pt THEN false WHEN pd THEN gap <= 200 AND head_lower WHEN pe AND head_ellipsis THEN gap <= 1500 WHEN pe AND head_upper THEN false WHEN NOT pe AND pc AND gap <= 1500 THEN true ELSE gap <= 200 OR head_lower END END AS on_,
+NOT (pt OR pe OR pc OR pd OR po) AND len(regexp_extract_all(ptext, '[{C.LATIN}]+(?:[''’][{C.LATIN}]+)*')) BETWEEN 1 AND 3 AND ptext = upper(ptext) AND ptext <> lower(ptext) AS shout FROM p)
+SELECT file_id, cue_id, CASE WHEN ptext IS NULL OR pm <> music THEN NULL WHEN music THEN CASE WHEN music_on THEN 'music' END WHEN gap < -1000 THEN NULL WHEN head_closer OR po THEN CASE WHEN gap <= 1500 THEN 'gap' END WHEN latin AND shout AND NOT head_lower THEN NULL WHEN on_ THEN 'gap' END AS reason, gap AS gap_ms FROM g""")
 def merge_reasons(spark, d):
-    """Why each caption goes on with the one before; tested against a loop."""
+    """Why each caption goes on with the one before."""
     own = timed(spark, d).select("file_id", "cue_id", F.col("cue_id").cast("bigint").alias("seq"), "text", F.col("s").alias("start_ms"), F.col("e").alias("end_ms"), "lang", C.is_music(F.col("text")).alias("music"))
     return S.merge_reasons(own, ["file_id"], "seq", F.col("lang")).select("file_id", "cue_id", "reason", "gap_ms")
 
@@ -80,7 +107,15 @@ def request_batches(spark, d):
     return S.pack_next_fit(own, ["file_id"], "unit_id", "n", 2000).select("file_id", "unit_id", "batch_no")
 
 
-@query()
+@query("""WITH c AS (SELECT file_id, unit_id, max(chapter_id) AS chapter_id, max_by(len(text), chapter_id) AS n FROM units GROUP BY file_id, unit_id),
+k AS (SELECT file_id, chapter_id, sum(n) + 8 AS total FROM c GROUP BY 1, 2), o AS (SELECT c.*, total, total > 4000 AS big, n + 8 > 4000 AS over_, row_number() OVER (PARTITION BY c.file_id ORDER BY c.chapter_id, unit_id) AS i FROM c JOIN k USING (file_id, chapter_id)),
+r AS (WITH RECURSIVE r AS (SELECT file_id, unit_id, chapter_id, i, over_ AND big AS oversized, CASE WHEN big AND over_ THEN 0 ELSE 1 END AS batch, CASE WHEN big THEN NULL ELSE total END AS used, CASE WHEN big AND NOT over_ THEN n + 8 END AS inner_ FROM o WHERE i = 1
+UNION ALL SELECT o.file_id, o.unit_id, o.chapter_id, o.i, o.big AND o.over_,
+CASE WHEN o.big AND o.over_ THEN r.batch WHEN o.big THEN CASE WHEN o.chapter_id <> r.chapter_id OR r.inner_ IS NULL OR r.inner_ + o.n > 4000 THEN r.batch + 1 ELSE r.batch END WHEN o.chapter_id = r.chapter_id THEN r.batch WHEN r.used IS NULL OR r.used + o.total > 4000 THEN r.batch + 1 ELSE r.batch END,
+CASE WHEN o.big THEN NULL WHEN o.chapter_id = r.chapter_id THEN r.used WHEN r.used IS NULL OR r.used + o.total > 4000 THEN o.total ELSE r.used + o.total END,
+CASE WHEN NOT o.big THEN NULL WHEN o.over_ THEN CASE WHEN o.chapter_id = r.chapter_id THEN r.inner_ END WHEN o.chapter_id <> r.chapter_id OR r.inner_ IS NULL OR r.inner_ + o.n > 4000 THEN o.n + 8 ELSE r.inner_ + o.n END
+FROM r JOIN o ON o.file_id = r.file_id AND o.i = r.i + 1) SELECT * FROM r)
+SELECT file_id, unit_id, CASE WHEN NOT oversized THEN CAST(batch AS INT) END AS batch_no, oversized FROM r""")
 def chapter_batches(spark, d):
     """Whole chapters into batches; tested for capacity, order and completeness."""
     own = latest(t(spark, d, "units").select("file_id", "unit_id", "chapter_id", F.length("text").alias("n")), ["file_id", "unit_id"], ["chapter_id"])
@@ -131,10 +166,15 @@ def actors_not_directing(spark, d):
 TERMS = [("Ladulu", "拉杜鲁"), ("Salu", "萨鲁"), ("the lighthouse", "灯塔"), ("lighthouse", "灯塔"), ("Mosalo", "莫萨洛"), ("the palace", "宫殿")]
 
 
-@query()
+_TERMS_SQL = ", ".join(f"({k}, '{a}', '{b}')" for k, (a, b) in enumerate(sorted(TERMS, key=lambda x: -len(x[0]))))
+
+
+@query(f"""WITH tm(rank, term, target) AS (VALUES {_TERMS_SQL}), x AS (SELECT doc_id, text, rank, term, target, unnest(range(len(text) - len(term) + 1)) AS s FROM documents, tm WHERE text IS NOT NULL AND contains(lower(text), lower(term))),
+h AS (SELECT doc_id, rank, target, s, s + len(term) AS e, text[s + 1:s + len(term)] AS matched FROM x WHERE lower(text[s + 1:s + len(term)]) = lower(term) AND NOT regexp_matches(text[s:s], '[A-Za-z0-9]') AND NOT regexp_matches(text[s + len(term) + 1:s + len(term) + 1], '[A-Za-z0-9]'))
+SELECT doc_id, CAST(s AS INT) AS start, CAST(e AS INT) AS "end", matched, target FROM h WHERE NOT EXISTS (SELECT 1 FROM h o WHERE o.doc_id = h.doc_id AND o.rank < h.rank AND o.s < h.e AND h.s < o.e)""")
 def glossary_hits(spark, d):
-    """Whole-word hits of terms, the longest first; tested against brute force."""
-    return lookup.glossary_hits(t(spark, d, "documents").where(F.col("lang") == "en"), "doc_id", "text", TERMS)
+    """Whole-word hits of terms in all documents, the longest first."""
+    return lookup.glossary_hits(t(spark, d, "documents").where(F.col("text").isNotNull()), "doc_id", "text", TERMS)
 
 
 @query("""WITH w AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE source = 'wiki_plot' AND text IS NOT NULL),

@@ -101,9 +101,13 @@ def edge_notes(spark, d):
     return cue_texts(spark, d).where(C.is_music(F.col("text"))).select("cue_key", C.strip_edge_notes(F.col("text")).alias("text"))
 
 
-@query()
+_LETTERS = "string_split('a b c d e f g h i j k l m n o p q r s t u v w x y z', ' ')"
+
+
+@query(rf"""WITH {CUES}, a AS (SELECT cue_key, text, list_reduce(list_prepend(text, {_LETTERS}), lambda x, l: regexp_replace(x, '(?i)(^|[^a-z])(' || l || ')-' || l || '($|[^a-z])', '\1\2\3', 'g')) AS once FROM cu WHERE text IS NOT NULL),
+b AS (SELECT cue_key, text, list_reduce(list_prepend(once, {_LETTERS}), lambda x, l: regexp_replace(x, '(?i)(^|[^a-z])' || l || '-(' || l || '[a-z])', '\1\2', 'g')) AS clean FROM a) SELECT * FROM b WHERE clean <> text""")
 def stutters(spark, d):
-    """Captions with a stammer, and without it. Back-references and look-around have no SQL."""
+    """Captions with a stammer, and without it."""
     c = F.col("text")
     return cue_texts(spark, d).select("cue_key", c, C.strip_stutter(c).alias("clean")).where(F.col("clean") != c)
 
@@ -277,7 +281,24 @@ def cleaned_cues(spark, d):
     return own.select("cue_key", "lines", R.clean_cue("lines").alias("clean"))
 
 
-@query()
+def _class(signs) -> str:
+    """SQL pattern of a character class, inside quotes."""
+    return "[" + "".join("\\x{" + format(ord(c), "x") + "}" for c in sorted(signs)) + "]"
+
+
+_TAIL_STRIP = rf"(?i)(?:\s|{SPACE}|[\x{{feff}}]|{_class(R.EDGE_MARKS)}|{_class(R.CLOSERS | set(chr(34) + chr(39)))}|</[ibu]>)+$"
+HEAD_STRIP = rf"(?i)^(?:\s|{SPACE}|[\x{{feff}}]|{_class(R.EDGE_MARKS)}|</?[ibu]>)+"
+#: SQL of the flags of both ends, over a relation x with a column text.
+ENDS = rf"""tl AS (SELECT *, regexp_replace(text, '{_TAIL_STRIP}', '') AS body, regexp_replace(text, '{HEAD_STRIP}', '') AS lead FROM x),
+td AS (SELECT *, text[len(body) + 1:] AS gone, body[-1:] AS last1, body[-2:] AS last2, regexp_replace(lead, '^["'']+', '') AS inner_, regexp_extract(regexp_replace(lead, '(?i)</?[ibu]>', '', 'g'), '\p{{L}}') AS letter FROM tl),
+tf AS (SELECT *, last1 IN ('…', '⋯') OR last2 = '..' AS tail_ellipsis, inner_[1:1] = '…' OR inner_[1:2] = '..' AS head_ellipsis FROM td),
+ends AS (SELECT *, last2 = '--' OR (regexp_full_match(last1, '{_class(R.TERMINAL)}') AND NOT tail_ellipsis) AS tail_terminal, regexp_full_match(last1, '{_class(R.CONTINUING)}') AS tail_continuing, last1 = '-' AND last2 <> '--' AS tail_dash,
+regexp_matches(gone, '{_class(R.CLOSERS | set(chr(34) + chr(39)))}') AS tail_closed, regexp_full_match(last1, '{_class(R.OPENERS)}') AS tail_opener, CAST(len(body) AS INT) AS tail_end,
+regexp_full_match(letter, '\p{{Ll}}') AS head_lower, regexp_full_match(letter, '\p{{Lu}}|\p{{Lt}}') AS head_upper, NOT head_ellipsis AND regexp_full_match(inner_[1:1], '{_class(R.BOUND)}') AS head_closer FROM tf)"""
+
+
+@query(f"""WITH {CUES}, x AS (SELECT * FROM cu WHERE text IS NOT NULL), {ENDS}
+SELECT cue_key, tail_terminal, tail_ellipsis, tail_continuing, tail_dash, tail_closed, tail_opener, tail_end, head_ellipsis, head_lower, head_upper, head_closer FROM ends""")
 def segment_ends(spark, d):
     """Flags of how captions begin and end."""
     own = cue_texts(spark, d).select("cue_key", R.classify_tail("text").alias("tail"), R.classify_head("text").alias("head"))
@@ -292,7 +313,7 @@ def normalized_translations(spark, d):
     return p.select("file_id", "unit_id", C.restyle_punctuation(C.trim_final_space(C.rectify_quotes(normal, F.col("src"), F.col("tl")), F.col("src")), F.col("tl")).alias("text"))
 
 
-@query()
+@query(r"""SELECT tmdb_id, concat_ws('_', replace(trim(regexp_replace(regexp_replace(replace(replace(regexp_replace(strip_accents(title_en), '[^\x00-\x7F]', '', 'g'), '-', ' '), '_', ' '), '[^A-Za-z0-9 .]+', ' ', 'g'), ' +', ' ', 'g')), ' ', '_'), CAST(year AS VARCHAR)) AS name FROM titles""")
 def safe_titles(spark, d):
     """Titles as repository names."""
     return t(spark, d, "titles").select("tmdb_id", F.concat_ws("_", C.sub(R.safe("title_en"), " ", "_"), F.col("year").cast("string")).alias("name"))
