@@ -490,7 +490,8 @@ def emphasis_spacing(c: Column) -> Column:
 def markdown_sections(c: Column) -> Column:
     """array<struct<name, body>> of the ## sections, in order."""
     names = F.transform(F.regexp_extract_all(F.concat(c, F.lit("\n")), F.lit(r"(?m)^## (.+?)[ \t]*$\n"), 1), F.trim)
-    bodies = F.slice(F.split(F.concat(F.lit("\n"), c, F.lit("\n")), r"(?m)^## .+$\n"), 2, 1000)
+    pieces = F.split(F.concat(F.lit("\n"), c, F.lit("\n")), r"(?m)^## .+$\n")
+    bodies = F.slice(pieces, 2, F.size(pieces))
     return F.transform(F.arrays_zip(names.alias("name"), F.transform(bodies, strip).alias("body")), lambda s: F.struct(s["name"].alias("name"), s["body"].alias("body")))
 
 

@@ -135,13 +135,16 @@ def sample_texts(spark, d):
     return translate.sample_text(u, "file_id")
 
 
-@query()
+_CLEAN = r"trim(regexp_replace(regexp_replace({0}, '\[(\d+|[a-z]|note \d+|注 ?\d+)\]', '', 'g'), '" + SPACE + r"+', ' ', 'g'))"
+
+
+@query(f"""SELECT doc_id, {_CLEAN.replace("{0}", "split_part(text, chr(10), 1)")} AS lead, {_CLEAN.replace("{0}", "text")} AS plot, coalesce(repo_name, '?') AS director FROM documents WHERE text IS NOT NULL""")
 def page_facts(spark, d):
     """Pages made of documents: a lead, a plot section, a fact box of title data."""
-    own = t(spark, d, "documents").where(F.col("text").isNotNull() & (F.col("source") == "wiki_plot")).select("doc_id", "text", "repo_name")
-    page = F.concat(F.lit('<section data-mw-section-id="0"><p>'), F.left(C.escape_html(F.col("text")), F.lit(60)), F.lit("[1]</p></section><section><h2>Plot</h2><p>"), C.escape_html(F.col("text")), F.lit('</p></section><table class="infobox"><tr><th>Directed by</th><td>'), F.coalesce(C.escape_html(F.col("repo_name")), F.lit("?")), F.lit("</td></tr></table>"))
+    own = t(spark, d, "documents").where(F.col("text").isNotNull()).select("doc_id", "text", "repo_name")
+    page = F.concat(F.lit('<section data-mw-section-id="0"><p>'), C.escape_html(F.substring_index("text", "\n", 1)), F.lit("[1]</p></section><section><h2>Plot</h2><p>"), C.escape_html(F.col("text")), F.lit('</p></section><table class="infobox"><tr><th>Directed by</th><td>'), F.coalesce(C.escape_html(F.col("repo_name")), F.lit("?")), F.lit("</td></tr></table>"))
     out = html.pages(own.select("doc_id", page.alias("html"), F.lit("en").alias("lang")), "doc_id", "html", "lang")
-    return out.select("doc_id", "lead", "plot", F.get("infobox", F.lit(0))["values"].alias("director"))
+    return out.select("doc_id", "lead", "plot", F.array_join(F.get("infobox", F.lit(0))["values"], "|").alias("director"))
 
 
 @query("""WITH w AS (SELECT repo_name, max_by(text, (len(text), doc_id)) FILTER (lang = 'en') AS en, max_by(text, (len(text), doc_id)) FILTER (lang = 'es') AS es, max_by(text, (len(text), doc_id)) FILTER (lang = 'de') AS de, max_by(text, (len(text), doc_id)) FILTER (lang = 'fr') AS fr FROM documents WHERE source = 'wiki_plot' AND repo_name IS NOT NULL GROUP BY repo_name),
@@ -158,13 +161,14 @@ def prompt_budgets(spark, d):
     return plots.select("repo_name", F.array_join(F.array_sort(F.map_keys(kept)), ",").alias("kept"))
 
 
-@query("""SELECT DISTINCT original_language, array_to_string(list_filter(list_distinct([original_language, 'en', 'zh', 'fr', 'de', 'es']), lambda x: x IS NOT NULL)[1:0], ',') || coalesce(original_language, '') AS first FROM titles""")
+@query("""SELECT DISTINCT original_language, array_to_string(list_concat([original_language], list_filter(['en', 'zh', 'fr', 'de', 'es'], lambda x: original_language IS NULL OR x <> original_language))[1:3], ',') AS languages FROM titles""")
 def language_orders(spark, d):
     order = synopsis.language_order(F.col("original_language"), ["en", "zh", "fr", "de", "es"], 3)
-    return t(spark, d, "titles").select("original_language").distinct().select("original_language", F.get(order, F.lit(0)).alias("first"))
+    return t(spark, d, "titles").select("original_language").distinct().select("original_language", F.array_join(order, ",").alias("languages"))
 
 
-@query()
+@query("""WITH r AS (SELECT tmdb_id, unnest(max_by(struct_pack(o := original_language, t := title_en, h := overview_zh), updated_at)) FROM titles GROUP BY tmdb_id)
+SELECT tmdb_id, '[{"role":"system","content":"Write a synopsis."},{"role":"user","content":' || to_json('{' || array_to_string(list_filter(['"original_language":' || to_json(o), '"title":' || to_json(t), '"human_overview":' || to_json(h)], lambda x: x IS NOT NULL), ',') || '}') || '}]' AS messages FROM r""")
 def prompt_messages(spark, d):
     """Chat messages of each film's facts."""
     own = latest(t(spark, d, "titles").select("tmdb_id", "title_en", "title_zh", "overview_zh", "original_language", "updated_at"), ["tmdb_id"], ["updated_at"])
@@ -172,7 +176,12 @@ def prompt_messages(spark, d):
     return own.select("tmdb_id", F.to_json(synopsis.messages(payload, "Write a synopsis.")).alias("messages"))
 
 
-@query()
+_REQUIRED = ", ".join(f"'{x}'" for x in synopsis.REQUIRED)
+
+
+@query(f"""WITH s AS (SELECT doc_id, string_split(chr(10) || trim(text, chr(10) || ' ') || chr(10), chr(10) || '## ') AS p FROM documents WHERE source = 'synopsis_md' AND text IS NOT NULL),
+n AS (SELECT doc_id, list_transform(p[2:], lambda b: trim(split_part(b, chr(10), 1))) AS all_ FROM s), u AS (SELECT doc_id, list_filter(all_, lambda x, i: NOT list_contains(all_[i + 1:], x)) AS names FROM n)
+SELECT doc_id, names, list_filter([{_REQUIRED}], lambda r: NOT list_bool_or(list_prepend(false, list_transform(names, lambda x: contains(x, r)))))[1] AS missing FROM u""")
 def synopsis_sections(spark, d):
     """Sections of synopses, and the required one that is missing first."""
     own = t(spark, d, "documents").where(F.col("source") == "synopsis_md").select("doc_id", synopsis.sections_of(F.col("text")).alias("s"))

@@ -177,16 +177,17 @@ def glossary_hits(spark, d):
     return lookup.glossary_hits(t(spark, d, "documents").where(F.col("text").isNotNull()), "doc_id", "text", TERMS)
 
 
-@query("""WITH w AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE source = 'wiki_plot' AND text IS NOT NULL),
+@query("""WITH w AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
 p AS (SELECT doc_id, unnest(l) AS x, unnest(range(len(l))) AS i FROM w), s AS (SELECT doc_id, i AS span_no, x, sum(len(x) + 1) OVER (PARTITION BY doc_id ORDER BY i) - len(x) - 1 AS b FROM p),
-m AS (SELECT doc_id, strpos(text, 'the ') - 1 AS b FROM documents WHERE source = 'wiki_plot' AND contains(text, 'the '))
+c AS (SELECT doc_id, text, unnest(range(len(text) - 2)) AS b FROM documents WHERE contains(lower(text), 'the')),
+m AS (SELECT doc_id, b FROM c WHERE lower(text[b + 1:b + 3]) = 'the' AND NOT regexp_matches(text[b:b], '[A-Za-z0-9]') AND NOT regexp_matches(text[b + 4:b + 4], '[A-Za-z0-9]'))
 SELECT m.doc_id, s.span_no, CAST(m.b - s.b AS BIGINT) AS start, CAST(m.b + 3 - s.b AS BIGINT) AS "end" FROM m JOIN s ON m.doc_id = s.doc_id AND s.b <= m.b AND m.b + 3 <= s.b + len(s.x)""")
 def matches_in_lines(spark, d):
-    """The first article of each plot, placed in its line: equality on the document and a range."""
-    own = t(spark, d, "documents").where((F.col("source") == "wiki_plot") & F.col("text").isNotNull()).select("doc_id", "text")
+    """The articles of all documents, placed in their lines: equality on the document and a range."""
+    own = t(spark, d, "documents").where(F.col("text").isNotNull()).select("doc_id", "text")
     lines = own.select("doc_id", F.posexplode(F.split("text", "\n")).alias("span_no", "x"))
     spans = with_running_sum(lines, ["doc_id"], "span_no", F.length("x") + 1, "_upto").select("doc_id", F.col("span_no").cast("bigint").alias("span_no"), (F.col("_upto") - F.length("x") - 1).alias("start"), (F.col("_upto") - 1).alias("end"))
-    found = own.where(F.col("text").contains("the ")).select("doc_id", (F.locate("the ", "text") - 1).cast("bigint").alias("start"), (F.locate("the ", "text") + 2).cast("bigint").alias("end"), F.lit("the").alias("matched"))
+    found = lookup.glossary_hits(own, "doc_id", "text", [("the", "")]).select("doc_id", F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"), "matched")
     return lookup.contained_matches(found, spans, "doc_id").select("doc_id", "span_no", "start", "end")
 
 

@@ -83,10 +83,10 @@ def style_parts(spark, d):
 @query(rf"""WITH {CUES}, w AS (SELECT cue_key, trim(text, chr(10) || chr(32) || chr(9)) AS s FROM cu),
 e AS (SELECT cue_key, s, regexp_extract(s, '(?is)^[♩♪♫♬\s]*<([ibu])>', 1) AS tag, regexp_replace(s, '[♩♪♫♬\s]+$', '') AS cut FROM w),
 f AS (SELECT *, tag <> '' AND regexp_matches(cut, '(?i)</' || tag || '>$') AND len(regexp_extract_all(s, '(?i)</?[ibu]>')) = 2 AS hit FROM e)
-SELECT cue_key, CASE WHEN hit THEN lower(tag) END AS tag, CASE WHEN hit THEN len(regexp_replace(regexp_replace(s, '(?i)</?[ibu]>', '', 'g'), '\s', '', 'g')) ELSE len(regexp_replace(s, '\s', '', 'g')) END AS chars FROM f""")
+SELECT cue_key, CASE WHEN hit THEN lower(tag) END AS tag, CASE WHEN hit THEN regexp_replace(regexp_replace(s, '(?i)</?[ibu]>', '', 'g'), '\s', '', 'g') ELSE regexp_replace(s, '\s', '', 'g') END AS body FROM f""")
 def full_wraps(spark, d):
     w = cue_texts(spark, d).select("cue_key", C.full_wrap(F.col("text")).alias("w"))
-    return w.select("cue_key", "w.tag", F.length(C.sub(F.col("w.body"), r"\s", "")).alias("chars"))
+    return w.select("cue_key", "w.tag", C.sub(F.col("w.body"), r"\s", "").alias("body"))
 
 
 @query(rf"""WITH {CUES} SELECT cue_key, regexp_matches(text, '[♩♪♫♬]') AS music, regexp_matches(text, '[\p{{L}}\p{{N}}_]') AS content,
@@ -113,9 +113,9 @@ def stutters(spark, d):
 
 
 @query(rf"""WITH {CUES}, s AS (SELECT cue_key, list_filter(list_transform(string_split(regexp_replace(regexp_replace(chr(10) || text, '(\s)((?:</?[ibuIBU]>)*)-((?:</?[ibuIBU]>)*[^-]|$)', '\1' || chr(1) || '\3', 'g'), chr(1) || '\s', chr(1), 'g'), chr(1)), lambda x: trim(x, chr(10) || chr(32) || chr(9))), lambda x: x <> '') AS p FROM cu)
-SELECT cue_key, greatest(len(p), 1) AS parts FROM s WHERE NOT (SELECT contains(text, '--') FROM cu c WHERE c.cue_key = s.cue_key)""")
+SELECT cue_key, greatest(len(p), 1) AS parts FROM s""")
 def dialogue_counts(spark, d):
-    own = cue_texts(spark, d).where(~F.col("text").contains("--"))
+    own = cue_texts(spark, d)
     return own.select("cue_key", F.size(C.dialogue_parts(F.col("text"))).cast("bigint").alias("parts"))
 
 
@@ -147,9 +147,17 @@ def reading_speeds(spark, d):
     return own.select("cue_key", s.alias("s")).select("cue_key", F.round("s.cps", 6).alias("cps"), "s.over_cps", "s.over_length")
 
 
-@query()
+_W = "coalesce(nullif(" + WEIGHT.format("y") + ", 0), len(y))"
+
+
+@query(rf"""WITH {{CUES}}, m AS (SELECT cue_key, lang, regexp_replace(text, '\{{[^}}]*\}}|</?[a-zA-Z][^>]*>', '', 'g') AS x,
+ (CAST(split_part(end_time, ':', 1) AS BIGINT) * 60 + CAST(split_part(end_time, ':', 2) AS BIGINT)) * 60000 + CAST(replace(replace(split_part(end_time, ':', 3), ',', ''), '.', '') AS BIGINT)
+ - ((CAST(split_part(start_time, ':', 1) AS BIGINT) * 60 + CAST(split_part(start_time, ':', 2) AS BIGINT)) * 60000 + CAST(replace(replace(split_part(start_time, ':', 3), ',', ''), '.', '') AS BIGINT)) AS ms FROM cu WHERE lang IN ('zh', 'ja')),
+l AS (SELECT *, list_filter(list_transform(string_split(x, chr(10)), lambda y: trim(regexp_replace(y, '{SPACE}+', ' ', 'g'))), lambda y: y <> '') AS ls FROM m),
+n AS (SELECT *, coalesce(list_sum(list_transform(ls, lambda y: {WEIGHT.format("y")})), 0) AS w, coalesce(list_max(list_transform(ls, lambda y: {_W})), 0) AS widest FROM l), k AS (SELECT *, CASE WHEN w > 0 THEN w ELSE len(array_to_string(ls, ' ')) END / greatest(ms / 1000.0, 0.001) AS c FROM n)
+SELECT cue_key, round(c, 6) AS cps, c > CASE lang WHEN 'zh' THEN 9 ELSE 4 END AS over_cps, widest > CASE lang WHEN 'zh' THEN 16 ELSE 13 END AS over_length FROM k""".replace("{CUES}", CUES))
 def reading_speeds_weighted(spark, d):
-    """Captions whose script weighs its characters; tested against a loop."""
+    """Captions whose script weighs its characters."""
     own = cue_texts(spark, d, "text", "lang", "start_time", "end_time").where(F.col("lang").isin("zh", "ja"))
     s = C.reading_speed(F.col("text"), C.time_ms(F.col("end_time")) - C.time_ms(F.col("start_time")), C.language_key(F.col("lang")))
     return own.select("cue_key", s.alias("s")).select("cue_key", F.round("s.cps", 6).alias("cps"), "s.over_cps", "s.over_length")
@@ -200,10 +208,11 @@ def plausible_lengths(spark, d):
     return p.select("file_id", "unit_id", C.length_plausible(F.col("src"), F.col("x")).alias("plausible"), C.marker_leak(F.col("src"), F.col("x")).alias("marker_leak"))
 
 
-@query(rf"""WITH {_TR}, n AS (SELECT file_id, unit_id, regexp_replace(coalesce(src, ''), '[\s\p{{P}}\p{{N}}♩♪♫♬]', '', 'g') AS a, regexp_replace(coalesce(x, ''), '[\s\p{{P}}\p{{N}}♩♪♫♬]', '', 'g') AS b, len(regexp_extract_all(coalesce(src, ''), '[\p{{L}}\p{{N}}_]+')) AS w FROM pr WHERE NOT contains(coalesce(src, '') || coalesce(x, ''), '<'))
-SELECT file_id, unit_id, a <> '' AND a = b AND w > 1 AS leaked FROM n""")
+@query(rf"""WITH {_TR}, o AS (SELECT *, regexp_replace(coalesce(src, ''), '(?i)</?[ibu]>', '', 'g') AS s1, regexp_replace(coalesce(x, ''), '(?i)</?[ibu]>', '', 'g') AS x1 FROM pr),
+n AS (SELECT file_id, unit_id, sl, tl, regexp_replace(s1, '[\s\p{{P}}\p{{N}}♩♪♫♬]', '', 'g') AS a, regexp_replace(x1, '[\s\p{{P}}\p{{N}}♩♪♫♬]', '', 'g') AS b, len(regexp_extract_all(s1, '[\p{{L}}\p{{N}}_]+')) AS w FROM o)
+SELECT file_id, unit_id, a <> '' AND a = b AND (w > 1 OR coalesce((sl IN ('zh', 'ja')) <> (tl IN ('zh', 'ja')) AND sl <> 'ru' AND tl <> 'ru', false)) AS leaked FROM n""")
 def equal_translations(spark, d):
-    p = pairs(spark, d).where(~F.concat(F.coalesce("src", F.lit("")), F.coalesce("x", F.lit(""))).contains("<"))
+    p = pairs(spark, d)
     return p.select("file_id", "unit_id", C.leaked_untranslated(F.col("src"), F.col("x"), F.col("sl"), F.col("tl")).alias("leaked"))
 
 
@@ -245,22 +254,22 @@ def display_titles(spark, d):
 
 
 @query(r"""WITH s AS (SELECT doc_id, string_split(chr(10) || text || chr(10), chr(10) || '## ') AS p FROM documents WHERE source = 'synopsis_md'), e AS (SELECT doc_id, unnest(p[2:]) AS b FROM s)
-SELECT doc_id, trim(split_part(b, chr(10), 1)) AS name, len(trim(b[len(split_part(b, chr(10), 1)) + 1:], chr(10) || chr(32))) AS chars FROM e""")
+SELECT doc_id, trim(split_part(b, chr(10), 1)) AS name, trim(b[len(split_part(b, chr(10), 1)) + 1:], chr(10) || chr(32)) AS body FROM e""")
 def markdown_sections(spark, d):
     own = t(spark, d, "documents").where(F.col("source") == "synopsis_md").select("doc_id", F.explode(C.markdown_sections(F.col("text"))).alias("s"))
-    return own.select("doc_id", "s.name", F.length("s.body").alias("chars"))
+    return own.select("doc_id", "s.name", "s.body")
 
 
-@query(r"""SELECT doc_id, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS escaped, len(text) AS back FROM documents WHERE text IS NOT NULL""")
+@query(r"""SELECT doc_id, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS escaped, text AS back FROM documents WHERE text IS NOT NULL""")
 def html_escapes(spark, d):
     e = C.escape_html(F.col("text"))
-    return t(spark, d, "documents").where(F.col("text").isNotNull()).select("doc_id", e.alias("escaped"), F.length(C.unescape_html(e)).alias("back"))
+    return t(spark, d, "documents").where(F.col("text").isNotNull()).select("doc_id", e.alias("escaped"), C.unescape_html(e).alias("back"))
 
 
-@query(rf"""WITH {CUES} SELECT cue_key, regexp_replace(regexp_replace(text, '([^\s])([♩♪♫♬])', '\1 \2', 'g'), '([♩♪♫♬])([^\s])', '\1 \2', 'g') AS text FROM cu WHERE regexp_matches(text, '[♩♪♫♬]') AND NOT regexp_matches(text, '[♩♪♫♬][♩♪♫♬]')""")
+@query(rf"""WITH {CUES}, b AS (SELECT cue_key, regexp_replace(regexp_replace(text, '([^\s])([♩♪♫♬])', '\1 \2', 'g'), '([^\s])([♩♪♫♬])', '\1 \2', 'g') AS x FROM cu WHERE regexp_matches(text, '[♩♪♫♬]'))
+SELECT cue_key, regexp_replace(regexp_replace(x, '([♩♪♫♬])([^\s])', '\1 \2', 'g'), '([♩♪♫♬])([^\s])', '\1 \2', 'g') AS text FROM b""")
 def music_spacing(spark, d):
-    own = cue_texts(spark, d).where(C.is_music(F.col("text")) & ~F.col("text").rlike("[♩♪♫♬][♩♪♫♬]"))
-    return own.select("cue_key", C.music_spacing(F.col("text")).alias("text"))
+    return cue_texts(spark, d).where(C.is_music(F.col("text"))).select("cue_key", C.music_spacing(F.col("text")).alias("text"))
 
 
 @query(r"""SELECT doc_id, regexp_replace(text, '⟦\s*([a-zA-Z]{1,3})\s*(\d+(?:\.\d+)?)\s*⟧', '⟦\1\2⟧', 'g') AS text, len(regexp_extract_all(text, '⟦c\d+(?:\.\d+)?⟧')) AS markers FROM documents WHERE contains(text, '⟦')""")
