@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -44,10 +44,18 @@ def language_index(languages: DataFrame) -> DataFrame:
     return exact.unionByName(first).groupBy("key").agg(F.min_by("code", "rank").alias("code"))
 
 
+#: Older tags and what they are called now.
+LEGACY_TAGS = {
+    "tl": "fil", "lug": "lg", "mww": "hmn", "kmr": "ku", "zh-cn": "zh-Hans", "zh-sg": "zh-Hans", "zh-tw": "zh-Hant", "zh-hk": "zh-Hant", "zh-mo": "zh-Hant", "nb": "no", "nn": "no",
+    "iw": "he", "jw": "jv", "nya": "ny", "run": "rn", "mni": "mni-Mtei", "sr-cyrl": "sr", "mn-cyrl": "mn", "in": "id",
+}
+
+
 def resolve_languages(tags: DataFrame, column: str, index: DataFrame) -> DataFrame:
-    """Adds provider_code: of the whole tag, else of its base."""
+    """Adds provider_code: of what the tag is called now, else of its base."""
     small = checked_broadcast(index)
-    low = F.lower(F.replace(F.col(column), F.lit("_"), F.lit("-")))
+    given = F.lower(F.replace(F.trim(column), F.lit("_"), F.lit("-")))
+    low = F.coalesce(F.lower(F.try_element_at(C.literal_map(LEGACY_TAGS), given)), given)
     one = tags.withColumn("_tag", low).withColumn("_base", F.split(low, "-").getItem(0))
     exact = one.join(small.select(F.col("key").alias("_tag"), F.col("code").alias("_exact")), "_tag", "left")
     return exact.join(small.select(F.col("key").alias("_base"), F.col("code").alias("_by_base")), "_base", "left").withColumn("provider_code", F.coalesce("_exact", "_by_base")).drop("_tag", "_base", "_exact", "_by_base")
@@ -202,10 +210,3 @@ def edition_jobs(editions: DataFrame, tags: list[str]) -> DataFrame:
     named = F.transform(F.array(*map(F.lit, tags)), lambda x: F.struct(x.alias("tag"), site_code(x).alias("code")))
     known = editions.withColumn("languages", F.filter(named, lambda x: x["code"].isNotNull()))
     return known.where(F.size("languages") > 0).withColumn("keywords", C.release_keywords(F.col("edition")))
-
-
-def session_defaults(spark: SparkSession, values: dict[str, str]) -> None:
-    """Sets configuration values that aren't set yet."""
-    for k, v in values.items():
-        if spark.conf.get(k, None) is None:
-            spark.conf.set(k, v)

@@ -23,12 +23,13 @@ LATIN_LANGUAGES = (
 
 
 # ---- chapters ----
-def chapters(groups: DataFrame, keys: list[str], kind: str, order: str, start: str, end: str, gap_ms: int = SCENE_CHANGE_MS) -> DataFrame:
+def chapters(groups: DataFrame, keys: list[str], kind: str, order: str, start: str, end: str, gap_ms: int = SCENE_CHANGE_MS, settle: bool = True) -> DataFrame:
     """Adds chapter_id: per kind a new chapter after a pause longer than the gap since the last row's end; numbered by first appearance over all kinds.
 
     Null times count as no pause. A row whose end lies before an earlier row's end still sets the pause, as the last row does."""
-    # what decides is written once: each step below reads it twice
-    slim = settled(groups.select(*keys, kind, order, start, end))
+    # what decides is written once, as each step below reads it twice; ``settle`` is off where it is written already
+    slim = groups.select(*keys, kind, order, start, end)
+    slim = settled(slim) if settle else slim
     own = with_previous(slim, [*keys, kind], order, [end], "_prior")
     breaks = F.when(F.col("_prior").isNull() | (F.col(start) - F.col(f"_prior.{end}") > gap_ms), 1).otherwise(0)
     begun = settled(own.select(*keys, kind, order, breaks.alias("_break")))

@@ -363,3 +363,36 @@ cases(
     [("## A\n\none\n## B\ntwo", "A", "\none\n"), ("## A\none", "C", "")],
     lambda a, b: markdown.section(a, "A") if b is None else F.when(b == "A", markdown.section(a, "A")).otherwise(markdown.section(a, "C")),
 )
+cases(
+    "case_contexts",
+    [("A plot.", "en-US", "en", "x", "A plot."), ("Une intrigue.", "en", "fr", "A plot.", "A plot."), ("Une intrigue.", "en", "fr", None, "Une intrigue."), ("A plot.", None, "en", "x", None), ("", "en", "en", "x", None), ("A plot.", "en", None, "B", "B")],
+    translate.prepared_context,
+)
+cases(
+    "case_wiki_links",
+    [("en=x;fr=y", "fr=Page;de=Seite", "fr:Page"), ("en=x;fr=y", "en=Page;fr=Une page", "en:Page,fr:Une page"), ("en=x", "de=Seite", "")],
+    lambda a, b: F.array_join(F.transform(synopsis.wiki_links(F.str_to_map(a, F.lit(";"), F.lit("=")), F.str_to_map(b, F.lit(";"), F.lit("="))), lambda x: F.concat(x["lang"], F.lit(":"), x["title"])), ","),
+)
+cases(
+    "case_source_links",
+    [("Kalo", "1999", "A>u;B>v", "t", "**Kalo (1999)** · [A](u) · [B](v)"), ("Kalo", "1999", "", "t", "**Kalo (1999)** · [TMDB](t)")],
+    lambda a, b, c, d: synopsis.source_links(a, b, F.transform(F.filter(F.split(c, ";"), lambda x: x != ""), lambda x: F.struct(F.split(x, ">").getItem(0).alias("label"), F.split(x, ">").getItem(1).alias("url"))), d),
+)
+cases(
+    "case_markers_and_tags",
+    [("<i>Go</i> now", "<i>Go</i>now"), ("a < b", "a < b"), ("<b>x</b><i>y</i>", "<b>x</b><i>y</i>")],
+    lambda a: C.markers_to_tags(C.tags_to_markers(a)),
+)
+
+
+def _retried(fails: str) -> list:
+    left = [int(fails)]
+
+    def send(request: str) -> tuple[str | None, str | None]:
+        left[0] -= 1
+        return (None, "rate_limit") if left[0] >= 0 else (request.upper(), None)
+
+    return list(connector.retrying(send, 3)("go"))
+
+
+cases("case_retries", [("0", '["GO", null]'), ("2", '["GO", null]'), ("3", '[null, "rate_limit"]')], arrow(_retried))

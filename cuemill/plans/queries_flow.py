@@ -238,9 +238,12 @@ def edition_jobs(spark, d):
     return jobs.select("edition", "keywords", F.array_join(F.transform("languages", lambda x: F.concat(x["tag"], F.lit(":"), x["code"])), ",").alias("languages"))
 
 
-@query("""WITH l(ord, tag, code) AS (VALUES (1, 'en', 'en'), (2, 'zh-Hans', 'zh-CN'), (3, 'zh-Hant', 'zh-TW'), (4, 'pt-BR', 'pt-BR'), (5, 'pt', 'pt'), (6, 'fr', 'fr'), (7, 'de', 'de'), (8, 'es', 'es'), (9, 'ru', 'ru'), (10, 'ja', 'ja')),
+_OLD = ", ".join(f"('{a}', '{b.lower()}')" for a, b in lookup.LEGACY_TAGS.items())
+
+
+@query(f"""WITH old_(tag_, new_) AS (VALUES {_OLD}), l(ord, tag, code) AS (VALUES (1, 'en', 'en'), (2, 'zh-Hans', 'zh-CN'), (3, 'zh-Hant', 'zh-TW'), (4, 'pt-BR', 'pt-BR'), (5, 'pt', 'pt'), (6, 'fr', 'fr'), (7, 'de', 'de'), (8, 'es', 'es'), (9, 'ru', 'ru'), (10, 'ja', 'ja')),
 b AS (SELECT split_part(lower(tag), '-', 1) AS k, arg_min(code, (CASE WHEN lower(tag) = split_part(lower(tag), '-', 1) THEN 0 ELSE 1 END) * 100 + ord) AS code FROM l GROUP BY 1)
-SELECT doc_id, coalesce((SELECT code FROM l WHERE lower(tag) = replace(lower(detectedlanguage), '_', '-')), (SELECT code FROM b WHERE k = split_part(replace(lower(detectedlanguage), '_', '-'), '-', 1))) AS provider_code FROM documents""")
+SELECT doc_id, coalesce((SELECT code FROM l WHERE lower(tag) = g), (SELECT code FROM b WHERE k = split_part(g, '-', 1))) AS provider_code FROM (SELECT doc_id, coalesce((SELECT new_ FROM old_ WHERE tag_ = replace(lower(trim(detectedlanguage)), '_', '-')), replace(lower(trim(detectedlanguage)), '_', '-')) AS g FROM documents)""")
 def provider_languages(spark, d):
     tags = ("en", "zh-Hans", "zh-Hant", "pt-BR", "pt", "fr", "de", "es", "ru", "ja")
     codes = {"zh-Hans": "zh-CN", "zh-Hant": "zh-TW"}

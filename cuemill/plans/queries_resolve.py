@@ -8,7 +8,7 @@ from ..functions import columns as C
 from ..operators import lookup
 from ..operators.ordered import latest, ranks
 from ..sources import connector
-from . import resolution, synopsis
+from . import resolution, synopsis, translate
 from .queries_text import t
 
 QUERIES: dict = {}
@@ -138,3 +138,50 @@ def answered_synopses(spark, d):
     best = own.groupBy("repo_name", "lang").agg(F.max_by("text", F.struct(F.length("text"), "doc_id")).alias("text"))
     facts = best.groupBy("repo_name").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("lang", "text")))).alias("plots")).withColumn("year", F.regexp_extract("repo_name", r"_(\d{4})$", 1).cast("int"))
     return synopsis.answered(facts, "repo_name", "plots", ["year"], connector.Stub(rule=_answer)).select("repo_name", "retries", "success", "reason")
+
+
+_JOBS = "CASE cast_order WHEN 0 THEN 'Director' WHEN 1 THEN 'Screenplay' WHEN 2 THEN 'Writer' ELSE 'cast' END"
+_PEOPLE = f"p AS (SELECT DISTINCT tmdb_id, cast_order AS pos, actor_name AS name, {_JOBS} AS job FROM cast_members)"
+
+
+def _people(spark, d):
+    job = F.when(F.col("cast_order") == 0, "Director").when(F.col("cast_order") == 1, "Screenplay").when(F.col("cast_order") == 2, "Writer").otherwise("cast")
+    return t(spark, d, "cast_members").select("tmdb_id", F.col("cast_order").alias("pos"), F.col("actor_name").alias("name"), job.alias("job")).distinct()
+
+
+@query(f"""WITH {_PEOPLE}, r AS (SELECT tmdb_id, CASE job WHEN 'Director' THEN 'director' ELSE 'writer' END AS role, string_agg(name, '|' ORDER BY pos, name) AS names FROM p WHERE job <> 'cast' GROUP BY 1, 2),
+c AS (SELECT tmdb_id, string_agg(role || '=' || names, ';' ORDER BY role) AS crew FROM r GROUP BY 1), a AS (SELECT tmdb_id, string_agg(name, '|' ORDER BY pos, name) AS "cast" FROM p WHERE job = 'cast' AND pos < 5 GROUP BY 1)
+SELECT coalesce(c.tmdb_id, a.tmdb_id) AS tmdb_id, crew, "cast" FROM c FULL JOIN a ON c.tmdb_id = a.tmdb_id""")
+def film_credits(spark, d):
+    """Crew by role and the first of the cast; the first three of each film's cast stand for its crew."""
+    own = synopsis.crew_by_role(_people(spark, d), "tmdb_id", {"Director": "director", "Screenplay": "writer", "Writer": "writer"}, 5)
+    crew = F.array_join(F.transform(F.map_entries("crew"), lambda x: F.concat(x["key"], F.lit("="), F.array_join(x["value"], "|"))), ";")
+    return own.select("tmdb_id", crew.alias("crew"), F.array_join("cast", "|").alias("cast"))
+
+
+@query(f"""WITH {_PEOPLE}, k AS (SELECT DISTINCT lower(trim(regexp_replace(coalesce(name, ''), '\\s+', ' ', 'g'))) AS n FROM p WHERE job = 'cast') SELECT tmdb_id, name, job FROM p WHERE job <> 'cast' AND lower(trim(regexp_replace(coalesce(name, ''), '\\s+', ' ', 'g'))) NOT IN (SELECT n FROM k)""")
+def crew_outside_casts(spark, d):
+    """Crew that plays in no film."""
+    p = _people(spark, d)
+    return synopsis.credits_without_known(p.where(F.col("job") != "cast"), p.where(F.col("job") == "cast")).select("tmdb_id", "name", "job")
+
+
+@query("""SELECT file_id, coalesce(arg_min(nullif(source_lang, 'auto'), (unit_id, requested_at, translation_id)), arg_min(detected_source_lang, (unit_id, requested_at, translation_id)), 'auto') AS language FROM translations GROUP BY file_id""")
+def pinned_languages(spark, d):
+    """Source language of each file's calls."""
+    tr = t(spark, d, "translations")
+    return translate.pinned_languages(tr, ["file_id"], F.col("source_lang"), F.col("detected_source_lang"), F.struct("unit_id", "requested_at", "translation_id"))
+
+
+@query(r"""WITH t AS (SELECT file_id, unit_id, max_by(struct_pack(s := source_lang, t := target_lang, x := text), (requested_at, translation_id)) AS r FROM translations GROUP BY 1, 2), u AS (SELECT file_id, unit_id, max_by(struct_pack(text := text, spans := spans), chapter_id) AS u FROM units GROUP BY 1, 2),
+j AS (SELECT file_id, unit_id, r.s AS sl, r.t AS tl, coalesce(r.x, '') AS x, r.x AS raw, u.text AS text, u.spans AS spans FROM t JOIN u USING (file_id, unit_id)), m AS (SELECT *, list_filter(spans, lambda s: s.boundary = 'marker') AS ms, list_distinct(list_transform(spans, lambda s: s.id)) AS ids FROM j),
+e AS (SELECT file_id, unit_id, sl, tl, unnest(ms).marker_id AS cue, unnest(ms).text AS own, x FROM m WHERE len(ms) > 0),
+c AS (SELECT file_id, unit_id, sl, tl, cue, own, CASE WHEN len(string_split(x, '⟦c' || cue || '⟧')) = 2 THEN trim(regexp_replace(string_split(x, '⟦c' || cue || '⟧')[2], '⟦c\d+(\.\d+)?⟧.*$', '', 's')) END AS got FROM e
+UNION ALL SELECT file_id, unit_id, sl, tl, CAST(ids[1] AS VARCHAR), text, raw FROM m WHERE len(ms) = 0 AND len(ids) = 1),
+n AS (SELECT file_id, unit_id, cue, sl, tl, regexp_replace(regexp_replace(coalesce(own, ''), '(?i)</?[ibu]>', '', 'g'), '[\s\p{P}\p{N}♩♪♫♬]', '', 'g') AS a, regexp_replace(regexp_replace(coalesce(got, ''), '(?i)</?[ibu]>', '', 'g'), '[\s\p{P}\p{N}♩♪♫♬]', '', 'g') AS b, len(regexp_extract_all(regexp_replace(coalesce(own, ''), '(?i)</?[ibu]>', '', 'g'), '[\p{L}\p{N}_]+')) AS w FROM c WHERE got IS NOT NULL)
+SELECT file_id, unit_id, cue FROM n WHERE a <> '' AND a = b AND (w > 1 OR coalesce((sl IN ('zh', 'ja')) <> (tl IN ('zh', 'ja')) AND sl <> 'ru' AND tl <> 'ru', false))""")
+def leaked_cues(spark, d):
+    """Cues that came back as they were."""
+    tr = latest(t(spark, d, "translations").select("file_id", "unit_id", "source_lang", "target_lang", F.col("text").alias("translation"), "requested_at", "translation_id"), ["file_id", "unit_id"], ["requested_at", "translation_id"])
+    u = latest(t(spark, d, "units").select("file_id", "unit_id", "chapter_id", "text", "spans"), ["file_id", "unit_id"], ["chapter_id"])
+    return translate.leaked_cues(u.join(tr, ["file_id", "unit_id"]), "file_id", F.col("source_lang"), F.col("target_lang"))

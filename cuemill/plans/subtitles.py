@@ -65,9 +65,10 @@ def units(cues: DataFrame, key: str, language: Column, glossary: list[tuple[str,
 
     Ids count over the chapters in order, so that songs between dialogue make them differ from the order of time."""
     own = settled(segments(cues, key, glossary or [], language))
-    grouped = settled(S.grouped_segments(own, [key], "seq", F.col("language")))
+    # texts are written once: what follows carries numbers, and the texts join at the end
+    grouped = settled(S.grouped_segments(own, [key], "seq", F.col("language")).select(key, "seq", "group_no", "marker_boundary", "start_ms", "end_ms", "music", "resolved"))
     groups = grouped.groupBy(key, "group_no").agg(F.min_by("start_ms", "seq").alias("start_ms"), F.max_by("end_ms", "seq").alias("end_ms"), F.when(F.bool_or("music"), "music").otherwise("dialogue").alias("kind"), F.count("*").alias("n"), F.max("resolved").alias("resolved"))
-    chaptered = settled(S.chapters(settled(groups), [key], "kind", "group_no", "start_ms", "end_ms"))
+    chaptered = S.chapters(groups, [key], "kind", "group_no", "start_ms", "end_ms", settle=False)
     key_type = groups.schema[key].dataType.simpleString()
 
     def fuse(frame: pd.DataFrame) -> pd.DataFrame:
@@ -86,7 +87,7 @@ def units(cues: DataFrame, key: str, language: Column, glossary: list[tuple[str,
     firsts = heads.select(key, "chapter_id", "head_no").distinct().withColumn("_at", F.col("chapter_id").cast("bigint") * (1 << 32) + F.col("head_no"))
     numbered = with_running_sum(firsts, [key], "_at", F.lit(1), "unit_id").select(key, "head_no", F.col("unit_id").cast("int").alias("unit_id"))
     placed = heads.join(numbered, [key, "head_no"]).select(key, "group_no", "unit_id", "chapter_id", "kind")
-    spans = grouped.join(placed, [key, "group_no"]).withColumn("marked", (F.col("kind") == "music") | F.col("marker_boundary"))
+    spans = own.join(grouped.select(key, "seq", "group_no", "marker_boundary"), [key, "seq"]).join(placed, [key, "group_no"]).withColumn("marked", (F.col("kind") == "music") | F.col("marker_boundary"))
     spans = S.marker_ids(spans, [key, "unit_id"])
     piece = F.when(F.col("marked"), F.concat(F.lit("⟦c"), "marker_id", F.lit("⟧ "), F.when(F.col("kind") == "music", C.strip_edge_notes(F.col("text"))).otherwise(F.col("text")))).otherwise(F.col("text"))
     span = F.struct("seq", F.col("cue_id").alias("id"), "start_time", "end_time", "text", F.when(F.col("marked"), "marker").alias("boundary"), "dash_index", "style_wrap", "kind", "marker_id", piece.alias("piece"), "resolved")

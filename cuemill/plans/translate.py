@@ -99,6 +99,29 @@ def missing_cues(units: DataFrame, key: str) -> DataFrame:
     return units.select(key, "unit_id", F.explode(F.array_except(F.transform(marked, lambda s: s["marker_id"]), F.map_keys(chunks))).alias("marker_id"))
 
 
+def leaked_cues(units: DataFrame, key: str, source: Column, target: Column) -> DataFrame:
+    """(key, unit_id, cue) of cues that came back as they were: marked spans by their chunks, a unit of a single unmarked cue by its text."""
+    marked = F.filter("spans", lambda s: s["boundary"] == "marker")
+    ids = F.array_distinct(F.transform("spans", lambda s: s["id"]))
+    chunks = C.cue_chunks(F.coalesce("translation", F.lit("")))
+    single = F.when(F.size(ids) == 1, F.array(F.struct(F.get(ids, F.lit(0)).cast("string").alias("cue"), F.col("text").alias("own"), F.col("translation").alias("got"))))
+    each = F.when(F.size(marked) > 0, F.transform(marked, lambda s: F.struct(s["marker_id"].alias("cue"), s["text"].alias("own"), F.try_element_at(chunks, s["marker_id"]).alias("got")))).otherwise(single)
+    rows = units.select(key, "unit_id", source.alias("_s"), target.alias("_t"), F.explode(each).alias("x")).where(F.col("x.got").isNotNull())
+    return rows.where(C.leaked_untranslated(F.col("x.own"), F.col("x.got"), F.col("_s"), F.col("_t"))).select(key, "unit_id", "x.cue")
+
+
+def pinned_languages(calls: DataFrame, keys: list[str], requested: Column, detected: Column, order: Column) -> DataFrame:
+    """(keys, language): the language that was asked for; where it is "auto" or none, the first that a call detected holds for all later ones."""
+    asked = F.nullif(requested, F.lit("auto"))
+    return calls.groupBy(*keys).agg(F.coalesce(F.min_by(asked, F.when(asked.isNotNull(), order)), F.min_by(detected, F.when(detected.isNotNull(), order)), F.lit("auto")).alias("language"))
+
+
+def prepared_context(raw: Column, reference: Column, detected: Column, translated: Column, most: int = 500) -> Column:
+    """The context to send: none where the subtitle's language is unknown, itself where it has that language, else its translation, cut, or itself where there is none."""
+    same = F.coalesce(C.primary_subtag(detected) == C.primary_subtag(reference), F.lit(False))
+    return F.when((F.coalesce(raw, F.lit("")) == "") | reference.isNull(), F.lit(None)).when(same, raw).otherwise(F.coalesce(C.truncate_context(translated, most), raw))
+
+
 def apply_terms(text: Column, matches: Column, target: Column) -> Column:
     """Replaces source terms that leaked into a translation by their targets, the longest first."""
     ordered = F.array_sort(F.transform(matches, lambda m: F.struct((-F.length(m["matched"])).alias("n"), m["matched"].alias("matched"), m["target"].alias("target"))))
