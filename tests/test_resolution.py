@@ -83,3 +83,15 @@ def test_answers_are_asked_for_again(spark):
     rule = lambda q: None if '"fails"' in q else good if '"ok"' in q or '"drops"' in q and '"es"' not in q else "## no"
     got = {x.id: (x.retries, x.success, x.reason) for x in synopsis.answered(facts, "id", "plots", ["who"], connector.Stub(rule=rule, reason="rate_limit")).collect()}
     assert got == {"ok": (0, True, None), "drops": (2, True, None), "never": (3, False, "malformed_llm_output"), "fails": (0, False, "rate_limit")}
+
+
+def test_command_line(spark, tmp_path):
+    from cuemill.__main__ import main
+
+    folder = tmp_path / "repo" / "subtitles" / "web" / "work" / "source"
+    folder.mkdir(parents=True)
+    (folder / "en.srt").write_text("1\n00:00:01,000 --> 00:00:02,000\nWe leave\n\n2\n00:00:02,100 --> 00:00:03,000\ntonight.\n")
+    main(["units", str(tmp_path / "repo"), str(tmp_path / "units")])
+    assert [(x.unit_id, x.text, len(x.spans)) for x in spark.read.parquet(str(tmp_path / "units")).collect()] == [(1, "We leave tonight.", 2)]
+    with pytest.raises(SystemExit):
+        main(["query", "none", str(tmp_path), str(tmp_path / "out")])
