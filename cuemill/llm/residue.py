@@ -92,6 +92,8 @@ DELIMITED = re.compile(
     r"\{\{[^{}\n]{1,60}\}\}|\$\{[^{}\n]{1,60}\}|\{[^\W\d][\w .-]{1,40}\}|<%=?[^%\n]{1,60}%>|\[\[[^\[\]\n]{1,60}\]\]|%\([^()\n]{1,40}\)[sdif]"
     r"|%[^\W\d]\w{2,40}%|@@\w[\w .-]{0,40}@@|(?<!\w)__[^\W_][\w .-]{0,40}?__(?!\w)|\[[^\[\]\n]{2,60}\]|<[^<>/\n]{4,60}>|【[^【】\n]{2,40}】"
 )
+#: Pieces of which prose can't tell anything before their class is known: they are no part of the prose that is fitted.
+OPEN = re.compile(r"\{\{[^{}\n]{1,60}\}\}|\$\{[^{}\n]{1,60}\}|\{[^\W\d][\w .-]{1,40}\}|<%=?[^%\n]{1,60}%>|\[\[[^\[\]\n]{1,60}\]\]|%\([^()\n]{1,40}\)[sdif]|%[^\W\d]\w{2,40}%|@@\w[\w .-]{0,40}@@|(?<!\w)__[^\W_][\w .-]{0,40}?__(?!\w)")
 PIECE = re.compile(r"[^.!?。！？\n]*(?:[.!?。！？]+[\"'”’»」』)\]]*|\n|$)")
 
 
@@ -143,7 +145,9 @@ def seeds() -> dict[int, list[str]]:
     # any identifier may stand in a field: made-up ones of one and two parts
     letters = list("abcdefghijklmnopqrstuvwxyz")
     names += ["_".join("".join(random.choice(letters, random.integers(3, 9))) for _ in range(1 + k % 2)) for k in range(80)]
-    fields = [form % name for form, name in itertools.product(FIELD_FORMS, names)]
+    # a field stands alone on its line, between spaces, or within brackets and quotes
+    around = (("", ""), (" ", " "), ("(", ")"), ('"', '"'))
+    fields = [a + form % name + b for k, (form, name) in enumerate(itertools.product(FIELD_FORMS, names)) for a, b in (around[0], around[1 + k % 3])]
     return {FILLER: FILLER_SEEDS * 3 + latin, ERROR: ERROR_SEEDS * 3, FIELD: fields + FIELD_WORDS * 6}
 
 
@@ -166,7 +170,7 @@ def fit_counts(texts: dict[int, list[str]], bits: int, common: float = 0.002) ->
     return ResidueModel(bits, counts, totals)
 
 
-def find_spans(texts: list[str], model: ResidueModel, window: int = 24, high: float = 0.8, cover: float = 0.7, least: float = 14.0, support: float = 0.4, field: float = 5.0) -> list[list[tuple[int, int, str]]]:
+def find_spans(texts: list[str], model: ResidueModel, window: int = 24, high: float = 0.8, cover: float = 0.7, least: float = 14.0, support: float = 0.4, field: float = 2.5) -> list[list[tuple[int, int, str]]]:
     """Of each text the spans (begin, end, kind) of residue, in code points."""
     codes = code_points("\n\n\n".join(["", *texts]))
     if not len(codes):
@@ -209,7 +213,7 @@ def find_spans(texts: list[str], model: ResidueModel, window: int = 24, high: fl
     return found
 
 
-def fit(documents: DataFrame, key: str = "doc_id", text: str = "text", sample: int = 3000, sample_chars: int = 20_000, bits: int = 17, rounds: int = 2) -> ResidueModel:
+def fit(documents: DataFrame, key: str = "doc_id", text: str = "text", sample: int = 3000, sample_chars: int = 20_000, bits: int = 18, rounds: int = 2) -> ResidueModel:
     """Fits the models on at most ``sample`` documents (of each at most ``sample_chars`` characters) and the seeds.
 
     Each further round moves what the model of the last round found from the prose sample to the class that it belongs to."""
@@ -217,8 +221,8 @@ def fit(documents: DataFrame, key: str = "doc_id", text: str = "text", sample: i
     return fit_sample([r["t"] for r in rows], bits, rounds)
 
 
-def fit_sample(prose: list[str], bits: int = 17, rounds: int = 2) -> ResidueModel:
-    model = fit_counts({PROSE: prose, **seeds()}, bits)
+def fit_sample(prose: list[str], bits: int = 18, rounds: int = 2) -> ResidueModel:
+    model = fit_counts({PROSE: [OPEN.sub(" ", x) for x in prose], **seeds()}, bits)
     for _ in range(rounds):
         clean, moved = [], {FILLER: [], ERROR: [], FIELD: []}
         for at in range(0, len(prose), 500):
@@ -231,7 +235,7 @@ def fit_sample(prose: list[str], bits: int = 17, rounds: int = 2) -> ResidueMode
                     kept.append(own[last:begin])
                     moved[KINDS.index(kind)].append(own[begin:end])
                     last = end
-                clean.append("".join([*kept, own[last:]]))
+                clean.append(OPEN.sub(" ", "".join([*kept, own[last:]])))
         model = fit_counts({PROSE: clean, **{k: v + moved[k] for k, v in seeds().items()}}, bits)
     return model
 
