@@ -533,3 +533,20 @@ def test_short_items_are_found(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     found = {(x.doc_id, x.item_id) for x in leakage.leaks(df, spark.createDataFrame(items, "item_id long, lang string, text string")).collect()}
     assert {(i, i) for i, *_ in items} <= found
+
+
+def test_labels_are_those_of_the_whole_model(corpus):
+    """Leaving out stretches and states changes no path: held against one path over all characters and all states."""
+    clean = [t for _, _, t in corpus]
+    model = encoding.fit_texts(clean[:300], [])
+    texts = [encoding.misread(t, pair) if k % 2 else t for k, t in enumerate(clean[300:340]) for pair in [(("utf-8", "cp1252"), ("cp1251", "cp1252"), ("utf-8", "cp437"))[k % 3]]]
+    texts += ["", "plain", "\n".join(texts[:4]), "Nadie cree la historia del sÃ³tano."]
+    batch = encoding.labelled(texts, model)
+    assert batch == [encoding.labelled([t], model)[0] for t in texts] and sum(map(bool, batch)) >= 10
+    for text, spans in zip(texts, batch):
+        codes = encoding.codes_of(text)
+        at = np.flatnonzero(codes > 127)
+        path = encoding.viterbi(model.ratios(codes[at], model.likelihood(text)[at])) if len(at) else []
+        want = {int(k) for k, state in zip(at, path) if state}
+        got = {k for b, e, _ in spans for k in range(b, e) if codes[k] > 127}
+        assert got == want, text
