@@ -1,8 +1,8 @@
 """Text that was decoded with the wrong character encoding.
 
 A hidden Markov model with one clean state and one state per encoding pair (true encoding, encoding it was read as)
-labels the characters. Emissions are character frequencies: of the clean state from a bounded sample of the corpus, of
-a pair's state from the same sample put through that pair. A span labelled with a pair gets the pair's inverse
+labels the characters. Emissions are character frequencies: of the clean state from all texts of the corpus in which no
+strong damage is found, of a pair's state from the same texts put through that pair. A span labelled with a pair gets the pair's inverse
 transform, again and again while it helps (text can be damaged twice). An exact check follows: the bytes must decode,
 and the restored text must be likelier than the damaged one under a model of clean character pairs.
 
@@ -15,15 +15,17 @@ from __future__ import annotations
 
 import codecs
 import re
+import zlib
+from collections import Counter
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, sample_rows
+from .common import batches, ensure_checkpoint_dir, spread
 
 #: Encodings that texts of each script come in, and encodings that readers assume.
 TRUE = {"latin": ("utf-8", "cp1252", "mac_roman", "cp850"), "cyrillic": ("utf-8", "cp1251", "koi8-r", "cp866", "mac_cyrillic", "iso8859-5"), "han": ("utf-8", "gb18030", "big5"), "kana": ("utf-8", "shift_jis", "euc_jp")}
@@ -33,10 +35,9 @@ LOST = "�"
 CONTROL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]")
 #: Log-probability of a character that a state can't emit.
 FLOOR = float(np.log(1e-7)) + 0.01
-#: Punctuation and signs of clean captions that a small sample may miss.
+#: Punctuation and signs of clean captions that a small corpus may miss.
 SIGNS = "“”‘’„«»‹›—–…♪♫¿¡£€$°C·•©®™№§±×÷½¼ ´`¨ªº「」『』（）《》【】、。！？；：，〜・ー→←…　"
 
-
 #: Cost, in nats, of entering and of leaving a state of damage.
 ENTER, LEAVE = 6.0, 0.5
 #: Nats by which the emissions of a span may prefer another pair and the pair still be tried.
@@ -112,6 +113,7 @@ class EncodingModel:
     bits: int
     strong: list[int]  # pairs whose damage is valid UTF-8
     memo: dict = field(default_factory=dict)
+    logs: dict = field(default_factory=dict)
     barren: set = field(default_factory=set)
     orders: dict = field(default_factory=dict)
 
@@ -138,39 +140,53 @@ class EncodingModel:
                 self.orders.clear()
         return found
 
-    def likelihood(self, text: str) -> np.ndarray:
+    def likelihood(self, text: str, before: str = "\n") -> np.ndarray:
         """Log-probability of each character after the one before, in clean text."""
-        c = codes_of("\n" + text)
+        c = codes_of(before + text)
         h = pair_hash(c[:-1], c[1:], self.bits)
         return self.clean(c[1:], c[:-1], h)
 
+    def total(self, text: str, before: str) -> float:
+        """Sum of likelihood(); of short texts by the pairs of characters that were seen before."""
+        if len(text) > 24:
+            return float(self.likelihood(text, before).sum())
+        out = 0.0
+        for c in text:
+            one = self.logs.get(before + c)
+            if one is None:
+                if len(self.logs) > 500_000:
+                    self.logs.clear()
+                own = codes_of(before + c)
+                one = self.logs[before + c] = float(self.clean(own[1:], own[:1], pair_hash(own[:1], own[1:], self.bits))[0])
+            out += one
+            before = c
+        return out
+
     def clean(self, own: np.ndarray, before: np.ndarray, hashed: np.ndarray) -> np.ndarray:
         """Log-probability of characters after those before them (Witten-Bell)."""
         weight = self.follow[before]
         return np.log((self.bigram[hashed] + weight * np.exp(self.unigram[own])) / (self.context[before] + weight))
 
-    def trial(self, own: str, k: int, gain: float) -> tuple[str | None, float]:
-        """The text reread by a pair, and how much likelier it is; None where it can't be. Short pieces recur, so the last ones are kept."""
-        found = self.memo.get((own, k))
+    def trial(self, own: str, k: int, gain: float, before: str) -> tuple[str | None, float]:
+        """The text reread by a pair, and how much likelier it is behind the character before; None where it can't be. Short pieces recur, so the last ones are kept."""
+        found = self.memo.get((before, own, k))
         if found is None:
-            found = self._trial(own, k, gain)
+            found = self._trial(own, k, gain, before)
             if len(own) <= 40:
-                self.memo[own, k] = found
+                self.memo[before, own, k] = found
             if len(self.memo) > 100_000:
                 self.memo.clear()
         return found
 
-    def _trial(self, own: str, k: int, gain: float) -> tuple[str | None, float]:
+    def _trial(self, own: str, k: int, gain: float, before: str) -> tuple[str | None, float]:
         true, assumed = self.pairs[k]
         fixed = reread(own, (true, assumed))
         if fixed is None or fixed == own or LOST in fixed or CONTROL.search(fixed):
             return None, 0.0
-        if true in RARE and len(own) - len(own.encode("ascii", "ignore")) < 6:
-            return None, 0.0  # a word or two can look like anything
-        before = self.memo.get(own)
-        if before is None:
-            before = self.memo[own] = float(self.likelihood(own).sum())
-        saved = float(self.likelihood(fixed).sum()) - before
+        held = self.memo.get((before, own))
+        if held is None:
+            held = self.memo[before, own] = self.total(own, before)
+        saved = self.total(fixed, before) - held
         # bytes that are valid UTF-8 are evidence of their own; else a text isn't likelier by being shorter
         if not sound((true, assumed)):
             saved -= 2.0 * max(0, len(own) - len(fixed)) + (gain if single_byte(assumed) else 2 * gain) + (gain if true in RARE else 0)
@@ -185,47 +201,137 @@ def pair_hash(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
     return ((a * 0x9E3779B1 + b * 0x85EBCA6B) & 0xFFFFFFFF) >> (32 - bits)
 
 
+#: Encodings of several bytes that readers assume: what a misread text holds depends on the bytes beside each other.
+SEVERAL = tuple(x for x in ASSUMED if single_byte(x) is None)
+#: Kinds of counts: characters of each script, pairs of neighbours, and characters of each script misread by several bytes.
+SCRIPTS = tuple(TRUE)
+GRAMS = len(SCRIPTS)
+WIDE = [(name, true, assumed) for name in SCRIPTS for true in TRUE[name] for assumed in SEVERAL if true != assumed]
+#: What no pair changes ends at ASCII white space, and so does every misread sequence of bytes.
+WIDE_WORD = re.compile("[^ \t\r\n]*[^\x00-\x7f][^ \t\r\n]*")
+
+
+def tallied(codes: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The different values, and how often (or with what weight) each stands there."""
+    if weight is None:
+        return np.unique(codes, return_counts=True)
+    own, at = np.unique(codes, return_inverse=True)
+    return own, np.bincount(at, weight, len(own))
+
+
+def counted(texts: list[str], by: dict[str, list[str]] | None = None) -> pd.DataFrame:
+    """Rows (kind, code, n): how often characters and pairs of neighbours stand in the texts, each with a line feed around, and in what misread texts give.
+
+    A fourth of the Latin and Cyrillic texts (by hash) counts in capitals too: captions shout, documents rarely do. Counts
+    of parts add up to those of the whole. ``by`` gives the texts by script instead."""
+    if by is None:
+        by = {k: [] for k in SCRIPTS}
+        for text in texts:
+            own = by[script(text)]
+            own.append(text)
+            if own is by["latin"] or own is by["cyrillic"]:
+                if zlib.crc32(text.encode("utf-8", "surrogatepass")) % 4 == 0:
+                    own.append(text.upper())
+    out = []
+    for kind, name in enumerate(SCRIPTS):
+        if not by[name]:
+            continue
+        joined = "\n" + "\n".join(by[name]) + "\n"
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        out.append((kind, *tallied(codes[1:])))
+        codes = np.minimum(codes, 65535)
+        out.append((GRAMS, *tallied(codes[:-1] * 65536 + codes[1:])))
+        words = Counter(WIDE_WORD.findall(joined))
+        if not words:
+            continue
+        often = np.array([0, *words.values()], np.float64)
+        lines = "\n" + "\n".join(words)
+        for true in TRUE[name]:
+            raw = lines.encode(true, "ignore")
+            for assumed in SEVERAL:
+                if true == assumed:
+                    continue
+                codes = codes_of(raw.decode(assumed, "replace"))
+                places = np.cumsum(codes == 10)
+                wide = codes > 127
+                out.append((GRAMS + 1 + WIDE.index((name, true, assumed)), *tallied(codes[wide], often[places[wide]])))
+    return summed([pd.DataFrame({"kind": np.int32(kind), "code": codes, "n": n.astype(np.float64)}) for kind, codes, n in out])
+
+
+def summed(parts: list[pd.DataFrame]) -> pd.DataFrame:
+    parts = [x for x in parts if len(x)] or [pd.DataFrame({"kind": np.zeros(0, np.int32), "code": np.zeros(0, np.int64), "n": np.zeros(0)})]
+    return parts[0] if len(parts) == 1 else pd.concat(parts).groupby(["kind", "code"], as_index=False, sort=False)["n"].sum()
+
+
+@lru_cache(None)
+def signs() -> pd.DataFrame:
+    return counted([], {k: [SIGNS] for k in SCRIPTS})
+
+
 def build(clean: list[str], bits: int = 18) -> EncodingModel:
-    groups: dict[str, list[str]] = {k: [] for k in TRUE}
-    for text in clean:
-        groups[script(text)].append(text)
-    groups["latin"].append(SIGNS)
-    for k in ("latin", "cyrillic"):  # a fifth in capitals: captions shout, samples rarely do
-        groups[k] += [x.upper() for x in groups[k][::4]]
-    joined = {k: "\n".join(v) for k, v in groups.items()}
-    for k in ("cyrillic", "han", "kana"):
-        joined[k] += "\n" + SIGNS
-    everything = codes_of("\n".join(joined.values()))
-    counts = np.bincount(everything, minlength=65536).astype(np.float64)
+    return modelled(*reduced(counted(clean), bits), bits)
+
+
+def reduced(counts: pd.DataFrame, bits: int) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
+    """Counts of the characters, counts of the hashed pairs, and of each character how many different ones follow it."""
+    grams = counts[(counts["kind"] == GRAMS) & (counts["n"] > 0)]
+    a, b = grams["code"].to_numpy() >> 16, grams["code"].to_numpy() & 65535
+    bigram = np.bincount(pair_hash(a, b, bits), grams["n"].to_numpy(), 1 << bits)
+    return counts[counts["kind"] != GRAMS], bigram, np.bincount(a, minlength=65536)
+
+
+def modelled(counts: pd.DataFrame, bigram: np.ndarray, follow: np.ndarray, bits: int) -> EncodingModel:
+    """The model of counted texts and the signs. A pair of single bytes changes each character on its own, so that what it gives follows from the counts of characters."""
+    extra = reduced(signs(), bits)
+    counts = summed([counts, extra[0]])
+    bigram, follow = bigram + extra[1], np.maximum(follow, extra[2])
+    of_kind = {int(k): (x["code"].to_numpy(), x["n"].to_numpy()) for k, x in counts[counts["n"] > 0].groupby("kind")}
+    total = np.zeros(65536)
+    for kind in range(len(SCRIPTS)):
+        if kind in of_kind:
+            np.add.at(total, np.minimum(of_kind[kind][0], 65535), of_kind[kind][1])
     pairs, found = [], []
     for assumed in ASSUMED:
+        chars = single_byte(assumed)
+        table = np.array([ord(c) for c in chars]) if chars else None
         for true in sorted({t for v in TRUE.values() for t in v}):
             if true == assumed or {true, assumed} <= {"cp1252", "latin-1"}:
                 continue
             own = np.zeros(65536)
-            for k, names in TRUE.items():
-                if true in names:
-                    # whole words that the pair changes, so that the state prefers what it damages
-                    text = joined[k]
-                    damaged = misread(text, (true, assumed))
-                    if damaged != text:
-                        codes = codes_of(damaged)
-                        codes = codes[codes > 127]
-                        own += np.bincount(codes, minlength=65536) / max(1, len(codes))
+            for kind, name in enumerate(SCRIPTS):
+                if true not in TRUE[name]:
+                    continue
+                part = np.zeros(65536)
+                if chars:
+                    seen = bytes_counted(of_kind.get(kind), true)
+                    np.add.at(part, table, seen)
+                else:
+                    codes, n = of_kind.get(GRAMS + 1 + WIDE.index((name, true, assumed)), (np.zeros(0, np.int64), np.zeros(0)))
+                    part[codes] = n
+                part[:128] = 0
+                own += part / max(1.0, part.sum())
             if own.any():
                 pairs.append((true, assumed))
                 found.append(own)
     floor = 1e-7
-    unigram = np.log((counts + 0.02) / (counts.sum() + 0.02 * 65536) + floor)
-    vocabulary = np.flatnonzero((counts > 0) | (np.stack(found).sum(0) > 0))
+    unigram = np.log((total + 0.02) / (total.sum() + 0.02 * 65536) + floor)
+    vocabulary = np.flatnonzero((total > 0) | (np.stack(found).sum(0) > 0))
     row = np.zeros(65536, np.int32)
     row[vocabulary] = np.arange(1, len(vocabulary) + 1)
     emission = np.full((len(vocabulary) + 1, len(pairs)), np.log(floor), np.float32)
     for k, own in enumerate(found):
         emission[1:, k] = np.log(own[vocabulary] / own.sum() + floor)
-    a, b = everything[:-1], everything[1:]
-    follow = np.maximum(2.0, np.bincount(np.unique(a * 65536 + b) >> 16, minlength=65536))
-    return EncodingModel(pairs, row, emission, emission.max(1), unigram, np.bincount(pair_hash(a, b, bits), minlength=1 << bits).astype(np.float32), counts, follow, bits, [k for k, p in enumerate(pairs) if sound(p)])
+    return EncodingModel(pairs, row, emission, emission.max(1), unigram, bigram.astype(np.float32), total, np.maximum(2.0, follow), bits, [k for k, p in enumerate(pairs) if sound(p)])
+
+
+def bytes_counted(characters: tuple[np.ndarray, np.ndarray] | None, encoding: str) -> np.ndarray:
+    """How often each byte stands in the encoded characters."""
+    out = np.zeros(256)
+    if characters is not None:
+        for c, n in zip(characters[0].tolist(), characters[1].tolist()):
+            for byte in chr(c).encode(encoding, "ignore"):
+                out[byte] += n
+    return out
 
 
 def viterbi(ratios: np.ndarray, enter: float = ENTER, leave: float = LEAVE) -> np.ndarray:
@@ -390,17 +496,21 @@ def best_inverse(text: str, begin: int, end: int, pair: int, model: EncodingMode
     for b, e in dict.fromkeys([(begin, end), word, line]):
         own = text[b:e]
         # short pieces recur: what no pair restores is tried once
-        known = (span, own, begin - b, pair)
+        before = text[b - 1] if b else "\n"
+        known = (before, span, own, begin - b, pair)
         if known in model.barren:
             continue
         promising = False
         whole = (b, e) == line
         order = (everything if line == word else lined) if whole else bytewise if (b, e) == word else parts
+        few = len(own) - len(own.encode("ascii", "ignore")) < 6
         for k in order:
             true, assumed = model.pairs[k]
             if assumed == "utf-8" and LOST in own:
                 continue
-            fixed, saved = model.trial(own, k, gain)
+            if few and true in RARE:
+                continue  # a word or two can look like anything
+            fixed, saved = model.trial(own, k, gain, before)
             if fixed is None:
                 continue
             promising = promising or saved > 1.0
@@ -451,38 +561,86 @@ def repair(text: str | None, model: EncodingModel, gain: float = 6.0, rounds: in
         fixed = "".join([*parts, fixed[last:]])
         # damaged twice? what was put back shows it
         spans = None
-        if not changed or not labelled(["\n".join(parts[1::2])], model)[0]:
+        if not changed or turn + 1 == rounds or not labelled(["\n".join(parts[1::2])], model)[0]:
             break
     found += [(m.start(), m.end(), "lost") for m in re.finditer(LOST + "+", text)] + [(b, e, "lost") for b, e in gone if not any(x < e and b < y for x, y, _ in found)]
     return bool(found), fixed, sorted(found)
 
 
 def fit_texts(clean: list[str], mixed: list[str], rounds: int = 2) -> EncodingModel:
-    """From texts known to be clean, then also from those of the mixed sample in which the last model finds no strong damage."""
-    model = build(clean)
+    """From texts known to be clean, then also from those of the mixed ones in which the last model finds no strong damage."""
+    known, every = counted(clean), counted(mixed)
+    model = modelled(*reduced(known, 18), 18)
     for _ in range(rounds):
-        kept = [x for x, spans in zip(mixed, labelled(mixed, model)) if not strong_damage(x, model, spans)]
-        model = build(clean + kept)
+        gone = counted([x for x, spans in zip(mixed, labelled(mixed, model)) if strong_damage(x, model, spans)])
+        model = modelled(*reduced(summed([known, every, gone.assign(n=-gone["n"])]), 18), 18)
     return model
 
 
 def strong_damage(text: str, model: EncodingModel, spans: list[tuple[int, int, int]] | None = None) -> bool:
     if LOST in text or any("\x80" <= x < "\xa0" for x in text) or lost_letters(text):
         return True
-    spans = repair(text, model, rounds=1, spans=spans)[2]
+    # less evidence is asked for than of damage that is reported: what a whole file repeats would else count as clean
+    spans = repair(text, model, gain=1.0, rounds=1, spans=spans)[2]
     if script(text) == "latin":
         return bool(spans)
     return any(sound(tuple(p.split("/"))) for *_, p in spans if p != "lost") or sum(e - b for b, e, _ in spans) > 0.2 * len(text) or len(spans) >= 4
 
 
-def fit(clean: DataFrame, mixed: list[tuple[DataFrame, str, str]], sample: int = 2000, sample_chars: int = 1000) -> EncodingModel:
-    """Fits on at most ``sample`` of the clean texts (a table with a column text) and at most ``sample`` rows of each (table, key, text column)."""
-    own = [r[0] for r in sample_rows(clean.where(F.length("text") > 0).select(F.substring("text", 1, sample_chars).alias("t")), "t", sample).collect()]
-    more = []
-    for df, key, text in mixed:
-        rows = sample_rows(df.where(F.length(text) > 0).select(F.col(key).alias("k"), F.substring(text, 1, sample_chars).alias("t")), "k", sample)
-        more += [r["t"] for r in rows.collect()]
-    return fit_texts(own, more)
+def tallies(texts: DataFrame, model: EncodingModel | None = None) -> DataFrame:
+    """Rows (kind, code, n) of all texts (column t); with a model, of those in which it finds strong damage, which count against."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+
+    def count(frames):
+        held, size = [], 0
+        for frame in batches(frames, 2000):
+            own = frame["t"].tolist()
+            if shared.value is not None:
+                own = [x for x, spans in zip(own, labelled(own, shared.value)) if strong_damage(x, shared.value, spans)]
+            if own:
+                held.append(counted(own))
+                size += len(held[-1])
+                if size > 2_000_000:
+                    held = [summed(held)]
+                    if len(held[0]) > 1_000_000:
+                        yield held.pop()
+                    size = sum(map(len, held))
+        if held:
+            yield summed(held)
+
+    found = texts.mapInPandas(count, "kind int, code bigint, n double")
+    return found if model is None else found.withColumn("n", -F.col("n"))
+
+
+def fit(clean: DataFrame, mixed: list[tuple[DataFrame, str, str]], rounds: int = 2, bits: int = 18) -> EncodingModel:
+    """Fits on all of the clean texts (a table with a column text) and all rows of each (table, key, text column), as fit_texts() does.
+
+    The texts are counted where they lie; a round counts those that its model finds damaged, and takes them off. What
+    comes to the driver are counts of characters and of hashed pairs, whatever the size."""
+    ensure_checkpoint_dir(clean.sparkSession)
+    known = tallies(clean.where(F.length("text") > 0).select(F.col("text").alias("t")))
+    texts = reduce(DataFrame.unionByName, [df.where(F.length(text) > 0).select(F.col(text).alias("t")) for df, _, text in mixed])
+    totalled = lambda rows: rows.groupBy("kind", "code").agg(F.sum("n").alias("n"))
+    every = totalled(known.unionByName(tallies(spread(texts)))).checkpoint()
+    # a text without what TO_READ asks for can't be damaged
+    doubtful = spread(texts.where(F.col("t").rlike(TO_READ)))
+    model = collected(totalled(known), bits)
+    for _ in range(rounds):
+        model = collected(totalled(every.unionByName(tallies(doubtful, model))), bits)
+    return model
+
+
+def collected(counts: DataFrame, bits: int) -> EncodingModel:
+    counts = counts.where("n > 0").checkpoint()
+    a, b = F.shiftright("code", 16), F.col("code").bitwiseAND(F.lit(65535))
+    hashed = F.shiftright((a * F.lit(0x9E3779B1) + b * F.lit(0x85EBCA6B)).bitwiseAND(F.lit(0xFFFFFFFF)), 32 - bits)
+    grams = counts.where(F.col("kind") == GRAMS)
+    bigram, follow = np.zeros(1 << bits), np.zeros(65536)
+    own = grams.groupBy(hashed.alias("h")).agg(F.sum("n").alias("n")).toPandas()
+    bigram[own["h"].to_numpy(np.int64)] = own["n"]
+    own = grams.groupBy(a.alias("a")).agg(F.count("*").alias("n")).toPandas()
+    follow[own["a"].to_numpy(np.int64)] = own["n"]
+    return modelled(counts.where(F.col("kind") != GRAMS).toPandas(), bigram, follow, bits)
 
 
 def damaged(df: DataFrame, key: str, text: str, model: EncodingModel) -> DataFrame:

@@ -198,6 +198,25 @@ def test_question_marks_for_letters_are_damage(spark, corpus):
     assert all(x.restored == lost[x.k] and {s.encodings for s in x.spans} == {"lost"} for x in out)
 
 
+def test_the_model_of_encodings_counts_every_text(spark, corpus):
+    clean = [t for _, _, t in corpus]
+    parts = encoding.summed([encoding.counted(clean[:250]), encoding.counted(clean[250:])])
+    whole = encoding.counted(clean)
+    key = ["kind", "code"]
+    assert parts.sort_values(key).values.tolist() == whole.sort_values(key).values.tolist()
+    # what a misread text holds, word by word with weights, against the text misread as a whole
+    own = {k: [x for x in clean if encoding.script(x) == k] for k in encoding.SCRIPTS}
+    for k, true, assumed in encoding.WIDE:
+        if k in ("han", "kana") and own[k]:
+            codes = encoding.codes_of(encoding.misread("\n".join(own[k]), (true, assumed)))
+            rows = whole[whole["kind"] == encoding.GRAMS + 1 + encoding.WIDE.index((k, true, assumed))]
+            assert rows["n"].sum() == (codes > 127).sum() and set(rows["code"]) == set(codes[codes > 127].tolist())
+    # more rows than any sample held, and a sign that stands far behind in a long text
+    rows = [(i, f"We go home {i}.") for i in range(5000)] + [(5000, "We stay here. " * 400 + "~")]
+    fitted = encoding.fit(spark.createDataFrame([("We go home.",)], "text string"), [(spark.createDataFrame(rows, "k long, t string"), "k", "t")])
+    assert fitted.context[ord("~")] == 1 and fitted.context[ord("W")] >= 5000 + 400
+
+
 # ---- turns ----
 def test_segments_and_labels():
     cast = turns.Cast([(1, "Savovo Kolula"), (2, "Bedalo Luvolu"), (3, "Lokasa Luvote")])
