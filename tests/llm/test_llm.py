@@ -66,6 +66,20 @@ def test_small_samples_have_the_prose_seeds():
     assert (model.counts[4][seed, residue.PROSE] > 0).all()
 
 
+def test_the_model_of_residue_counts_every_document(spark, corpus):
+    texts = [t for _, _, t in corpus]
+    whole, parts = residue.counted(texts, 14), [residue.counted(x, 14) for x in (texts[:7], texts[7:300], texts[300:])]
+    assert all((whole[k] == sum(x[k] for x in parts)).all() for k in (0, 1)) and whole[0][0].sum() == sum(len(t) + 1 for t in texts)
+    # more documents than any sample held, and one longer than what was read of it
+    rows = [(i, f"We go home {i}.") for i in range(4000)] + [(4000, "We stay here. " * 2000 + "~")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = residue.fit(df, rounds=0)
+    local = residue.fit_counts({residue.PROSE: [t for _, t in rows], **residue.seeds()}, 18)
+    assert all((model.counts[k] == local.counts[k]).all() for k in residue.ORDERS)
+    found = next(residue.tallied(iter([pd.DataFrame(rows, columns=["doc_id", "t"])]), None, 18))
+    assert found.loc[(found["kind"] == residue.PROSE) & (found["level"] == 0), "n"].sum() == sum(len(t) + 1 for _, t in rows)
+
+
 # ---- language ----
 def test_gradient_agrees_with_differences():
     net = language.Network.fresh(5, 3, 0)
