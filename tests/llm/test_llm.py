@@ -297,6 +297,28 @@ def test_turns_over_chunks_against_a_loop(spark):
     assert turns.marked_segments(turns.segments_of(turns.captions_of(c.limit(0), u.limit(0)), turns.cast_of(files, titles, cast))).count() == 0
 
 
+def test_captions_without_a_number_stand_where_their_time_puts_them(spark):
+    clock = lambda s: f"{s // 3600:02d}:{s // 60 % 60:02d}:{s % 60:02d},000"
+    cues = [(i, 1, i, clock(10 * i), clock(10 * i + 2), ("ANN: " if i % 100 == 1 else "") + "We go home.", "2025-01-01") for i in range(1, 601)]
+    for k, s in ((0, 1504), (1, 5504)):  # after captions 150 and 550, in different chunks
+        cues.append((900 + k, 1, None, clock(s), clock(s + 1), "BO: We stay.", "2025-01-01"))
+        cues.append((910 + k, 1, None, clock(s), clock(s + 1), "BO: We stay.", "2025-01-02"))
+    cues.append((920, 1, None, clock(2010), clock(2012), "ANN: We go home.", "2025-01-01"))  # caption 201 again, without its number
+    cues += [(1000 + s, 2, None, clock(s), clock(s + 1), text, "2025-01-01") for s, text in ((900, "BO: Later."), (5, "ANN: First."), (1900, "ANN: Last."))]
+    c = spark.createDataFrame(cues, "cue_key long, file_id long, cue_id int, start_time string, end_time string, text string, ingested_at string")
+    u = spark.createDataFrame([(f, [(1, "00:00:10,000", "00:00:12,000", "ANN: We go home.", None)]) for f in (1,)] + [(2, [(None, None, None, "ANN: First.", None)])], "file_id long, spans array<struct<id:int,start_time:string,end_time:string,text:string,dash_index:int>>")
+    files = spark.createDataFrame([(1, "F_2000"), (2, "F_2000")], "file_id long, repo_name string")
+    titles = spark.createDataFrame([("F_2000", 5)], "repo_name string, tmdb_id long")
+    cast = spark.createDataFrame([(5, 7, 0, "Ann Lee"), (5, 8, 1, "Bo Day")], "tmdb_id long, speaker_id long, cast_order int, char_name string")
+    marked = turns.marked_segments(turns.segments_of(turns.captions_of(c, u), turns.cast_of(files, titles, cast)))
+    rows = marked.orderBy("file_id", "chunk", "place").collect()
+    assert [(x.cue_id, x.speaker_id) for x in rows if x.file_id == 1 and x.begins] == [(1, 7), (None, 8), (201, 7), (None, 8)]
+    assert sum(x.file_id == 1 for x in rows) == 602
+    near = [k for k, x in enumerate(rows) if x.file_id == 1 and x.cue_id is None]
+    assert [rows[k - 1].cue_id for k in near] == [150, 550] and [rows[k + 1].cue_id for k in near] == [151, 551]
+    assert [x.text for x in rows if x.file_id == 2 and x.begins] == ["First.", "Later.", "Last."]
+
+
 # ---- matching ----
 def test_assignment_is_optimal():
     r = random.Random(7)
