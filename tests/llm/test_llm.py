@@ -113,6 +113,21 @@ def test_language_on_held_out_lines(spark, corpus):
     assert language.detect(df.limit(0), net).count() == 0
 
 
+def test_every_line_trains_the_network(spark):
+    lines = [["We go home.", "x" * 5000], ["Nous partons."] * 40]
+    batches, size = language.every_byte(lines, np.random.default_rng(5), 8, 16)
+    assert size == sum(int((x != 256).sum()) for x, _, _ in batches) >= 5000 + 40 * 12
+    net = language.Network.fresh(4, 8, 0)
+    # a thousand documents of a language, of which a sample holds 250; what is said far behind in a text of 8,000 characters
+    rows = [(i, f"We go home {i}.", "en", "en") for i in range(1000)]
+    schema = "doc_id long, text string, lang string, detectedlanguage string"
+    one = language.train_on_all(spark.createDataFrame(rows, schema), None, net)
+    two = language.train_on_all(spark.createDataFrame(rows[:-1] + [(999, "We stay. " * 900 + "\u0451" * 40, "en", "eng")], schema), None, net)
+    assert (one.w["Ef"][0xD1] == net.w["Ef"][0xD1]).all() and (two.w["Ef"][0xD1] != net.w["Ef"][0xD1]).any()
+    many = language.train_on_all(spark.createDataFrame(rows, schema), None, net, shard_bytes=150)
+    assert np.isfinite(many.w["W"]).all() and (many.w["W"] != net.w["W"]).any()
+
+
 def test_long_lines_are_labelled_whole():
     net = language.Network.fresh(4, 8, 0)
     raw = [b"a" * n for n in (0, 1, 223, 224, 225, 1000)]
