@@ -246,6 +246,44 @@ def test_the_model_of_encodings_counts_every_text(spark, corpus):
     assert fitted.context[ord("~")] == 1 and fitted.context[ord("W")] >= 5000 + 400
 
 
+def test_second_rounds_of_labels_are_found_together(corpus, monkeypatch):
+    """Restored texts are labelled again, to see whether they were damaged twice: those of a batch in one call a round, not one each."""
+    clean = [t for _, _, t in corpus]
+    model = encoding.fit_texts(clean[:300], [])
+    once = [encoding.misread(t, ("utf-8", "cp1252")) for _, lang, t in corpus[300:400] if lang in ("fr", "es", "ru")]
+    texts = [None, "", "plain", *once, encoding.misread(once[0], ("utf-8", "cp1252"))]
+    want = [encoding.repair(t, model) for t in texts]
+    assert sum(x[0] for x in want) >= 20
+    calls, own = [], encoding.labelled
+    monkeypatch.setattr(encoding, "labelled", lambda some, m: calls.append(len(some)) or own(some, m))
+    assert encoding.repairs(texts, model) == want and len(calls) <= 6
+
+
+def test_pairs_that_the_runs_rule_out(corpus):
+    """What is told from runs beyond ASCII alone is what the whole text tells."""
+    model = encoding.fit_texts([t for _, _, t in corpus], [])
+    texts = [encoding.misread(t, pair) for k, (_, _, t) in enumerate(corpus[:60]) for pair in [(("utf-8", "cp1252"), ("cp1251", "cp1252"), ("utf-8", "cp437"), ("gb18030", "cp1252"), ("shift_jis", "cp437"))[k % 5]]]
+    told = 0
+    for text in [x for x in texts if not x.isascii()] + ["é1é1é", "caf\xe9 1\xe90", "\xe9"]:
+        runs = model.prepared(text, "\n")[0]
+        assert "".join(x[1] for x in runs) == "".join(x for x in text if x > "\x7f")
+        order = tuple(range(len(model.pairs)))
+        left = set(model.worth(runs, (-1, order)))
+        for k, (true, assumed) in enumerate(model.pairs):
+            fixed = encoding.reread(text, (true, assumed))
+            saved = -np.inf
+            if fixed not in (None, text) and encoding.LOST not in fixed and not encoding.CONTROL.search(fixed) and encoding.of_language(fixed, true):
+                saved = model.total(fixed, "\n") - model.total(text, "\n") - model.asked(k, 6.0)
+                saved -= 0.0 if encoding.sound((true, assumed)) else 2.0 * max(0, len(text) - len(fixed))
+            got = model.trial(text, runs, k, 6.0, "\n")
+            if saved > 1.0:
+                assert k in left and got[0] == fixed and got[1] == pytest.approx(saved)
+                told += 1
+            elif true != "euc_jp":  # its kana are asked for later
+                assert got == (None, 0.0)
+    assert told >= 50
+
+
 # ---- turns ----
 def test_segments_and_labels():
     cast = turns.Cast([(1, "Savovo Kolula"), (2, "Bedalo Luvolu"), (3, "Lokasa Luvote")])
@@ -620,3 +658,21 @@ def test_labels_are_those_of_the_whole_model(corpus):
         want = {int(k) for k, state in zip(at, path) if state}
         got = {k for b, e, _ in spans for k in range(b, e) if codes[k] > 127}
         assert got == want, text
+
+
+def test_segments_side_by_side():
+    """Paths of many segments at once, held against those of one after the other: all lengths, numbers of states, ends and groups."""
+    r = np.random.default_rng(5)
+    sizes, states, ends = r.integers(1, 40, 300), r.integers(1, 12, 300), r.random(300) < 0.3
+    tables = [np.clip(r.normal(0, 6, (n, s)), -9, 12).round() for n, s in zip(sizes, states)]
+
+    def table(some):
+        out = np.full((sizes[some].max(), len(some), states[some].max()), -99.0)
+        for i, g in enumerate(some):
+            out[: sizes[g], i, : states[g]] = tables[g]
+        return out
+
+    got = np.split(encoding.viterbi_all(sizes, states, ends, table), np.cumsum(sizes)[:-1])
+    for own, path, end in zip(tables, got, ends):
+        whole = own if end else np.vstack([own, np.full((1, own.shape[1]), -99.0)])
+        assert path.tolist() == encoding.viterbi(whole)[: len(own)].tolist()
