@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import rules as R
-from .ordered import ranks
+from .ordered import ranks, settled
 
 #: Code that a subtitle site gives each language, where it isn't the three-letter code of the same name.
 SITE_CODE_OF = {
@@ -182,21 +183,52 @@ def group_match(hint: Column, candidate: Column) -> Column:
     return F.when(a == b, "exact").when((n > 0) & (F.slice(a, 1, F.greatest(n, F.lit(1))) == F.slice(b, 1, F.greatest(n, F.lit(1)))), "partial").otherwise("none")
 
 
+#: Titles of one search: as many wanted ones against as many entries, of the years that fit.
+CELL = (256, 8192)
+
+
 def best_titles(wanted: DataFrame, catalogue: DataFrame, key: str) -> DataFrame:
     """For each wanted (key, title, year) the catalogue entry (id, name, released) at most a year apart and similar enough: the most similar, then the nearest year.
 
-    Equal titles of a year are compared once. The join is an equality of year and length class: titles of which one is
-    more than three times as long as the other aren't similar enough, so that each wanted title looks at three years and
-    five classes, and a year that many films have is spread over the classes."""
-    class_of = lambda c: F.floor(F.log2(F.length(R.safe(c)) + 1)).cast("int")
-    years = F.explode(F.array(F.col("year") - YEAR_TOLERANCE, F.col("year"), F.col("year") + YEAR_TOLERANCE))
-    asked = wanted.where(F.col("year").isNotNull() & F.col("title").isNotNull())
-    left = asked.select("title", "year").distinct().withColumn("_y", years).withColumn("_class", F.explode(F.sequence(class_of("title") - 2, class_of("title") + 2)))
-    right = catalogue.where(F.col("released").isNotNull() & F.col("name").isNotNull()).groupBy("name", "released").agg(F.min("id").alias("id"))
-    right = right.withColumn("_y", F.col("released")).withColumn("_class", class_of("name"))
-    scored = left.join(right, ["_y", "_class"]).withColumn("similarity", R.title_similarity("title", "name")).where(F.col("similarity") >= LEAST_SIMILARITY)
-    best = scored.groupBy("title", "year").agg(F.min_by(F.struct("id", "name", "released", "similarity"), F.struct(-F.col("similarity"), F.abs(F.col("released") - F.col("year")), "id")).alias("b"))
-    return asked.select(key, "title", "year").join(best, ["title", "year"]).select(key, "b.id", "b.name", "b.released", "b.similarity")
+    Titles are compared as they are plain (safe, in lower case), once for each year. Those with an equal entry are found by
+    a join. The others meet all entries of their years in cells of bounded size, so that a year of any size is
+    spread; in a cell only entries are compared that can still be the most similar (rules.Offers), which changes no answer."""
+    plain = lambda c: F.lower(R.safe(c))
+    asked = wanted.where(F.col("year").isNotNull() & F.col("title").isNotNull()).select(key, F.col("year").cast("bigint").alias("_year"), plain("title").alias("_text"))
+    entries = catalogue.where(F.col("released").isNotNull() & F.col("name").isNotNull()).withColumns({"_released": F.col("released").cast("bigint"), "_name": plain("name")})
+    entries = settled(entries.groupBy("_name", "_released").agg(F.min(F.struct("id", "name", "released")).alias("entry")))
+    around = lambda c: F.explode(F.sequence(c - YEAR_TOLERANCE, c + YEAR_TOLERANCE))
+    away = lambda: F.abs(F.col("_released") - F.col("_year"))
+    near = asked.select("_text", "_year").distinct().withColumn("_y", around(F.col("_year"))).alias("a")
+    equal = near.join(entries.alias("e"), (F.col("_y") == F.col("_released")) & (F.col("_text") == F.col("_name")), "left")
+    equal = settled(equal.groupBy("_text", "_year").agg(F.min_by("entry", F.when(F.col("entry").isNotNull(), F.struct(away(), "entry"))).alias("entry")))
+
+    left = equal.where(F.col("entry").isNull()).select("_text", "_year", F.lit(None).cast("bigint").alias("_released"))
+    right = entries.select(F.col("_name").alias("_text"), around(F.col("_released")).alias("_year"), "_released")
+    blocks = lambda df, size, name: df.groupBy("_year").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
+    cut = blocks(left, CELL[0], "_rows").join(blocks(right, CELL[1], "_columns"), "_year")
+    own = lambda name: F.array(F.pmod(F.xxhash64("_text"), F.col(name)).cast("int"))
+    all_ = lambda name: F.sequence(F.lit(0), F.col(name) - 1)
+    cells = [df.join(cut, "_year").withColumn("_row", F.explode(i)).withColumn("_column", F.explode(j)) for df, i, j in ((left, own("_rows"), all_("_columns")), (right, all_("_rows"), own("_columns")))]
+    session = wanted.sparkSession
+    # a number of tasks: cells are small and heavy, and sized in bytes they would be put together
+    tasks = max(4 * session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
+    both = cells[0].unionByName(cells[1]).select("_year", "_row", "_column", "_text", "_released").repartition(tasks, "_year", "_row", "_column")
+
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        offered = pdf["_released"].notna()
+        years = pdf.loc[offered, "_released"].astype("int64").tolist()
+        offers, found = R.Offers(pdf.loc[offered, "_text"].tolist()), []
+        for text, year in zip(pdf.loc[~offered, "_text"], pdf.loc[~offered, "_year"]):
+            similarity, places = offers.best(text, LEAST_SIMILARITY)
+            closest = min((abs(years[k] - year) for k in places), default=0)
+            found += [(text, year, offers.texts[k], years[k], similarity) for k in places if abs(years[k] - year) == closest]
+        return pd.DataFrame(found, columns=["_text", "_year", "_name", "_released", "similarity"])
+
+    alike = both.groupBy("_year", "_row", "_column").applyInPandas(search, "_text string, _year bigint, _name string, _released bigint, similarity double")
+    alike = alike.join(entries, ["_name", "_released"]).groupBy("_text", "_year").agg(F.min_by(F.struct("entry", "similarity"), F.struct(-F.col("similarity"), away(), "entry")).alias("b"))
+    same = equal.where(F.col("entry").isNotNull()).select("_text", "_year", F.struct("entry", F.lit(1.0).alias("similarity")).alias("b"))
+    return asked.join(alike.unionByName(same), ["_text", "_year"]).select(key, "b.entry.id", "b.entry.name", "b.entry.released", "b.similarity")
 
 
 def resolution(found: DataFrame, key: str) -> DataFrame:

@@ -66,6 +66,49 @@ def test_best_titles_against_all_pairs(spark):
     assert got == want
 
 
+def _most_similar_of_all(wanted, entries):
+    from cuemill.functions import rules as R
+
+    plain = lambda x: R.safe_title(x).lower()
+    want = {}
+    for k, title, year in wanted:
+        offers = [(-R.ratcliff(plain(title), plain(name)), abs(released - year), i) for i, name, released in entries if abs(released - year) <= 1]
+        if offers and -min(offers)[0] >= 0.5:
+            want[k] = (min(offers)[2], round(-min(offers)[0], 6))
+    return want
+
+
+def test_a_year_of_many_titles_is_cut_into_cells(spark, monkeypatch):
+    """Cells of 3 wanted titles and 5 entries, with equal titles, ties of similarity and of year, and titles without a letter."""
+    monkeypatch.setattr(lookup, "CELL", (3, 5))
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcd") for _ in range(r.randint(1, 5)))
+    entries = [(i, " ".join(word() for _ in range(r.randint(1, 3))), r.choice([2000, 2000, 2000, 1999, 2001])) for i in range(120)] + [(200, "港口", 2000), (201, "ABC abd!", 2001), (202, "abc-abd", 1999)]
+    wanted = [(i, r.choice(entries)[1].upper() if i % 3 else " ".join(word() for _ in range(2)), 2000) for i in range(60)] + [(90, "海港", 2001), (91, "abc abd", 2000), (92, "abc abdd", 2000), (93, "abc", 1950)]
+    got = {x.k: (x.id, round(x.similarity, 6)) for x in lookup.best_titles(spark.createDataFrame(wanted, "k int, title string, year int"), spark.createDataFrame(entries, "id int, name string, released int"), "k").collect()}
+    assert got == _most_similar_of_all(wanted, entries)
+    assert got[90] == (200, 1.0) and got[91] == (201, 1.0) and 93 not in got
+
+
+def test_few_titles_are_compared_letter_by_letter(monkeypatch):
+    """Before, each wanted title was compared with every entry of its years."""
+    from cuemill.functions import rules as R
+
+    r = random.Random(6)
+    words = [a + b + c for a in ("ha", "mo", "vel", "sto", "cris") for b in ("r", "n", "tt", "vi") for c in ("bor", "lis", "ta", "en")]
+    title = lambda n: " ".join(r.choice(words) for _ in range(n))
+    texts = [title(r.choice([1, 3, 3, 4, 4, 12, 40])) for _ in range(400)] + ["", "a", "a" * 300, "ab" * 130]
+    offers, asked = R.Offers(texts), [*[x.replace("b", "d", 1)[1:] for x in texts[:60]], title(4), title(45), "", "zzzz", "a" * 290]
+    judged, compare = [], R.Offers.similarity
+    monkeypatch.setattr(R.Offers, "similarity", lambda self, text, k: judged.append(k) or compare(self, text, k))
+    for text in asked:
+        all_ = [R.ratcliff(text, x) for x in texts]
+        top = max(0.5, *all_)
+        similarity, places = offers.best(text, 0.5)
+        assert (similarity, sorted(places)) == (top, [k for k, x in enumerate(all_) if x == top])
+    assert len(judged) < 0.1 * len(asked) * len(texts)
+
+
 def test_second_provider_only_where_the_first_gives_nothing(spark):
     c = "k string, id string, title string, score double, pos long"
     first = spark.createDataFrame([("a", "1", "红石", 0.9, 1), ("b", "2", "别的", 0.1, 1), ("d", "4", "红石 一", 0.1, 1), ("d", "5", "红石 二", 0.2, 2)], c)
