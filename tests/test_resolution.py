@@ -90,6 +90,27 @@ def test_a_year_of_many_titles_is_cut_into_cells(spark, monkeypatch):
     assert got[90] == (200, 1.0) and got[91] == (201, 1.0) and 93 not in got
 
 
+def test_names_of_a_full_year_find_their_film(spark, tmp_path):
+    """Before, the names of a request met all films of their years in one join that scored every pair."""
+    from cuemill.plans import queries_resolve
+
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randint(2, 6))).capitalize()
+    titles = [f"{word()} {word()} {word()}" for _ in range(150)]
+    names = [f"{(x if k % 3 else x[1:] + 'x').replace(' ', '_')}_1999" for k, x in enumerate(titles)]
+    rows = [(k, f"tt{k:07}", names[k], "movie", titles[k], None, 1999, None) for k in range(150)]
+    schema = "tmdb_id long, imdb_id string, repo_name string, media_type string, title_en string, title_zh string, year int, updated_at timestamp_ntz"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "titles.parquet"))
+    found = queries_resolve.resolved_names(spark, str(tmp_path))
+    got = {x.request: (x.success, x.reason, x.tmdb_id) for x in found.collect()}
+    most = _most_similar_of_all([(k, names[k][:-5].replace("_", " "), 1999) for k in range(150)], [(k, titles[k], 1999) for k in range(150)])
+    for k in range(150):
+        same = k in most and titles[most[k][0]] == names[k][:-5].replace("_", " ")
+        assert got[k] == (same, None if same else "title_mismatch" if k in most else "not_found", most[k][0] if same else None)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "title_similarity" not in plan and "search(" in plan
+
+
 def test_few_titles_are_compared_letter_by_letter(monkeypatch):
     """Before, each wanted title was compared with every entry of its years."""
     from cuemill.functions import rules as R
